@@ -514,7 +514,8 @@ def id_faults(s: Survey) -> DataFrame:
 
 @query
 def rolled_back(s: Survey) -> DataFrame:
-    return parity.rollback_rows(s.raw, _copy(s), "ingestion_id").select("ingestion_id", F.length("raw").cast("long").alias("chars"))
+    rows = parity.rollback_rows(s.raw, _copy(s), "ingestion_id")
+    return rows.select("ingestion_id", F.col("raw").endswith(" ").alias("changed"))
 
 
 @query

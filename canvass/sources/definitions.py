@@ -278,14 +278,15 @@ def page_questions(items: DataFrame) -> DataFrame:
         ).otherwise(F.array(name))
 
     pages = readable.select("poll_id", known.alias("known"), F.posexplode("doc.pages").alias("page_no", "page"))
-    groups = pages.select(
+    described = pages.select(
         "poll_id",
         "known",
         "page_no",
         _text(F.col("page"), "page_id").alias("page_id"),
         _predicate(F.variant_get("page", "$.show_if_answer", "variant")).alias("page_show_if"),
-        F.posexplode(_list(F.variant_get("page", "$.groups", "variant"))).alias("group_no", "grp"),
+        _list(F.variant_get("page", "$.groups", "variant")).alias("groups"),
     )
+    groups = described.select("*", F.posexplode("groups").alias("group_no", "grp"))
     listed = F.coalesce(
         F.try_variant_get("grp", "$.questions", "array<string>"), F.array().cast("array<string>")
     )
