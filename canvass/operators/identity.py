@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from canvass.functions.hashes import is_hash, resolved_hash
 from canvass.functions.measures import age_band
 from canvass.functions.text import blank_to_null
+from canvass.session import written
 
 # Fixed value: prefix of the events fired by a survey widget.
 GUIDE_EVENTS = "[Guides-Surveys]%"
@@ -40,26 +41,30 @@ def event_window(responses: DataFrame, poll_id: str | None = None, pad_days: int
     )
 
 
-def _respondents(responses: DataFrame, windows: DataFrame) -> DataFrame:
-    """Distinct (poll, device) with the poll's window."""
-    devices = responses.select("poll_id", blank_to_null(F.col("device_id")).alias("device_id"))
-    return (
-        devices.where(F.col("device_id").isNotNull())
-        .distinct()
-        .join(windows.select("poll_id", "win_start", "win_end"), "poll_id")
-    )
+def _respondents(responses: DataFrame, pad_days: int) -> DataFrame:
+    """Distinct (poll, device) with the poll's window.
+
+    Written, because several steps read it and because a table has a known size: Spark broadcasts it to the event
+    scan if it is small, and otherwise shuffles both sides.
+    """
+    windows = event_window(responses, pad_days=pad_days).where("win_start IS NOT NULL")
+    devices = responses.where(F.col("device_id") != "").select("poll_id", "device_id").distinct()
+    rows = devices.join(windows.select("poll_id", "win_start", "win_end"), "poll_id")
+    return written(rows, "respondents")
 
 
 def publication(properties: Column) -> Column:
     return blank_to_null(F.from_json(properties, "publication_name string")["publication_name"])
 
 
-def _within(events: DataFrame, windows: DataFrame) -> DataFrame:
-    """Events between the earliest start and the latest end of all windows: a range the scan can skip files by."""
-    bounds = windows.agg(F.min("win_start").alias("a"), F.max("win_end").alias("b"))
-    start = bounds.select(F.col("a").cast("timestamp_ntz")).scalar()
-    end = bounds.select(F.col("b").cast("timestamp_ntz")).scalar()
-    return events.where((F.col("event_time") >= start) & (F.col("event_time") <= end))
+def _within(events: DataFrame, respondents: DataFrame) -> DataFrame:
+    """Events between the earliest start and the latest end of all windows (one row on the driver), as constants that
+    the scan can skip files and partitions by."""
+    first, last = respondents.agg(F.min("win_start"), F.max("win_end")).first()
+    if first is None:
+        return events.limit(0)
+    start, end = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, last))
+    return events.where(F.col("event_time").between(start, end))
 
 
 def _daily(events: DataFrame, respondents: DataFrame, *values: Column) -> DataFrame:
@@ -110,9 +115,8 @@ def _publication() -> Column:
 
 def _collapsed(events: DataFrame, responses: DataFrame, pad_days: int, *values: Column) -> DataFrame:
     """Per (poll, device, kind) the most frequent, then most recent, then greatest value inside the poll's window."""
-    windows = event_window(responses, pad_days=pad_days)
-    respondents = _respondents(responses, windows)
-    daily = _daily(_within(events, windows), respondents, *values)
+    respondents = _respondents(responses, pad_days)
+    daily = _daily(_within(events, respondents), respondents, *values)
     per_value = (
         daily.join(respondents, "device_id")
         .where(_in_window())
@@ -199,9 +203,10 @@ def respondent_demographics(
 
     A hash can match several records; the best one is the greatest (quality, -rank, update date, -id), NULLs last.
     As a maximum it is pre-aggregated before the shuffle, so a hash with many records needs no large group. The
-    person tables are cut down to the chosen ids first; that semi join is a broadcast when the ids are few.
+    hashes and the chosen ids are written: as tables of known size they are broadcast to the person tables while
+    they are small, so those are filtered where they are read, and shuffled beyond that.
     """
-    hems = identity.where(F.col("hem").isNotNull()).select("hem").distinct()
+    hems = written(identity.where(F.col("hem").isNotNull()).select("hem").distinct(), "respondent-hashes")
     order = F.struct(
         F.col("emailqualitylevel").alias("quality"),
         (-F.col("rankorder")).alias("rank"),
@@ -215,6 +220,7 @@ def respondent_demographics(
         .agg(F.max(order).alias("best"))
         .select("hem", (-F.col("best.id")).alias("id"))
     )
+    chosen = written(chosen, "respondent-persons")
     ids = chosen.select("id")
     d = person.join(ids, "id", "left_semi").withColumnRenamed("gender", "person_gender")
     p = place.join(ids, "id", "left_semi").select("id", F.col("gender").alias("place_gender"), "state", "dma")
@@ -266,9 +272,8 @@ def audience_profile(
 ) -> DataFrame:
     """Banded counts of the persons behind a poll: hashes seen on its devices or in its payloads."""
     responses = _one_poll(responses, poll_id)
-    windows = event_window(responses, pad_days=pad_days)
-    respondents = _respondents(responses, windows)
-    daily = _daily(_within(events, windows), respondents, _value("user", F.lower("user_id")))
+    respondents = _respondents(responses, pad_days)
+    daily = _daily(_within(events, respondents), respondents, _value("user", F.lower("user_id")))
     seen = daily.join(respondents, "device_id").where(_in_window()).select("poll_id", F.col("value").alias("hem"))
     given = responses.where(F.col("external_id") != "").select("poll_id", F.lower("external_id").alias("hem"))
     hems = seen.union(given).distinct()

@@ -9,35 +9,49 @@ from canvass.functions.text import base_poll_id, eligible, id_list
 from canvass.sources.responses import elements
 
 
-def _answered(responses: DataFrame, logic: DataFrame) -> DataFrame:
-    """Submissions with their survey's question list; answers without a value are as good as absent."""
-    given = F.transform(
-        F.filter("answers", lambda a: a["kind"] != "none"),
+def _given(responses: DataFrame) -> DataFrame:
+    """Submissions with a map question → answer. Answers without a value are as good as absent; of two answers to one
+    question the first counts."""
+    present = F.filter("answers", lambda a: a["kind"] != "none")
+    entries = F.transform(
+        present,
         lambda a: F.struct(
-            a["question"].alias("question"),
-            a["kind"].alias("kind"),
-            a["elements"].alias("elements"),
-            a["write_in"].alias("write_in"),
-            F.to_json(a["answer"]).alias("json"),
-            F.transform(a["elements"], lambda e: F.to_json(e.cast("variant"))).alias("texts"),
+            a["question"].alias("key"),
+            F.struct(
+                a["kind"].alias("kind"),
+                a["elements"].alias("elements"),
+                a["write_in"].alias("write_in"),
+                F.to_json(a["answer"]).alias("json"),
+            ).alias("value"),
         ),
     )
-    return responses.select("ingestion_id", "poll_id", given.alias("given")).join(logic, "poll_id")
+    named = responses.select("ingestion_id", "poll_id", F.filter(entries, lambda e: e["key"].isNotNull()).alias("e"))
+    first = F.filter("e", lambda e, i: F.array_position("e.key", e["key"]) == i + 1)
+    return named.select("ingestion_id", "poll_id", F.map_from_entries(first).alias("given"))
 
 
-def _first(found: Column) -> Column:
-    return F.get(found, F.lit(0))
+def _asked(responses: DataFrame, logic: DataFrame) -> DataFrame:
+    """One row per submission and question of `logic`, with the answers the audit looks at."""
+    return _looked_up(_given(responses).join(logic, "poll_id"))
 
 
-def _answer_to(question: Column) -> Column:
-    return _first(F.filter("given", lambda a: a["question"] == question))
+def _looked_up(rows: DataFrame) -> DataFrame:
+    """Add the question's answer and those that its page's rule, its own rule and its carried list refer to."""
+    answer_to = lambda key: F.try_element_at("given", F.coalesce(F.col(key), F.lit("")))
+    return rows.select(
+        *[c for c in rows.columns if c != "given"],
+        answer_to("question_key").alias("answer"),
+        answer_to("page_show_if.question").alias("page_answer"),
+        answer_to("show_if.question").alias("rule_answer"),
+        answer_to("options_from").alias("earlier"),
+    )
 
 
-def _holds(rule: Column) -> Column:
-    """A show-if rule on the submission's answers. Unknown operators and absent rules hold."""
-    answer = _answer_to(rule["question"])
+def _holds(rule: Column, answer: Column) -> Column:
+    """A show-if rule on the answer it names. Unknown operators and absent rules hold."""
     is_list = F.coalesce(answer["kind"] == "array", F.lit(False))
     listed = F.coalesce(F.array_contains(rule["list"], answer["json"]), F.lit(False)) & ~is_list
+    texts = F.transform(answer["elements"], lambda e: F.to_json(e.cast("variant")))
     op = rule["op"]
     return (
         F.when(rule.isNull(), True)
@@ -45,111 +59,78 @@ def _holds(rule: Column) -> Column:
         .when(op == "in", listed)
         .when(op == "not_in", rule["list"].isNotNull() & ~listed)
         .when(op == "is_set", F.coalesce(answer["json"] != '""', F.lit(False)))
-        .when(op == "array_contains", is_list & F.coalesce(F.arrays_overlap(answer["texts"], rule["list"]), F.lit(False)))
+        .when(op == "array_contains", is_list & F.coalesce(F.arrays_overlap(texts, rule["list"]), F.lit(False)))
         .otherwise(True)
     )
 
 
-def _page_open(q: Column) -> Column:
-    return q["page"].isNotNull() & _holds(q["page"]["page_show_if"])
+def _page_open() -> Column:
+    return F.col("page_no").isNotNull() & _holds(F.col("page_show_if"), F.col("page_answer"))
 
 
-def hidden_answers(responses: DataFrame, logic: DataFrame) -> DataFrame:
-    """Answers to questions that were not on show, with the reason."""
-
-    def verdict(a: Column) -> Column:
-        q = _first(F.filter("logic", lambda x: x["question_key"] == a["question"]))
-        reason = (
-            F.when(q.isNull(), "unknown question")
-            .when(~_page_open(q), "page hidden")
-            .when(~_holds(q["show_if"]), "question hidden")
-        )
-        return F.struct(a["question"].alias("question_key"), reason.alias("reason"))
+def _rule_open() -> Column:
+    return _holds(F.col("show_if"), F.col("rule_answer"))
 
-    verdicts = F.filter(F.transform("given", verdict), lambda v: v["reason"].isNotNull())
-    return (
-        _answered(responses, logic)
-        .select("ingestion_id", "poll_id", F.explode(verdicts).alias("v"))
-        .select("ingestion_id", "poll_id", "v.*")
+
+ROW = ["ingestion_id", "poll_id", "question_key"]
+
+
+def hidden_answers(responses: DataFrame, logic: DataFrame) -> DataFrame:
+    """Answers to questions that were not on show, with the reason; polls without a definition are left out."""
+    defined = logic.select("poll_id").distinct()
+    answered = (
+        _given(responses)
+        .join(defined, "poll_id", "left_semi")
+        .select("ingestion_id", "poll_id", "given", F.explode(F.map_keys("given")).alias("question_key"))
+    )
+    rows = _looked_up(answered.join(logic, ["poll_id", "question_key"], "left"))
+    reason = (
+        F.when(F.col("question_type").isNull(), "unknown question")
+        .when(~_page_open(), "page hidden")
+        .when(~_rule_open(), "question hidden")
     )
+    return rows.select(*ROW, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def incomplete_required(responses: DataFrame, logic: DataFrame) -> DataFrame:
     """Required questions on show that were not answered, or with too few choices and no catch-all among them."""
-
-    def verdict(q: Column) -> Column:
-        answer = _answer_to(q["question_key"])
-        picked = answer["elements"]
-        catch_all = F.exists(
-            q["options"],
-            lambda o: o["is_catch_all"] & (F.array_contains(picked, o["value"]) | (answer["write_in"] & o["write_in"])),
-        )
-        least = F.greatest(F.coalesce(q["min_select"], F.lit(1)), F.lit(1))
-        multi = q["question_type"] == "multi"
-        empty = answer.isNull() | (answer["json"] == '""')
-        no_choice = answer.isNull() | (answer["kind"] != "array") | (F.size(picked) == 0)
-        reason = (
-            F.when(multi & no_choice, "missing")
-            .when(multi & ~F.coalesce(catch_all, F.lit(False)) & (F.size(picked) < least), "too few")
-            .when(~multi & empty, "missing")
-        )
-        return F.struct(q["question_key"].alias("question_key"), reason.alias("reason"))
-
-    shown = F.filter("logic", lambda q: q["is_required"] & _page_open(q) & _holds(q["show_if"]))
-    verdicts = F.filter(F.transform(shown, verdict), lambda v: v["reason"].isNotNull())
-    return (
-        _answered(responses, logic)
-        .select("ingestion_id", "poll_id", F.explode(verdicts).alias("v"))
-        .select("ingestion_id", "poll_id", "v.*")
+    picked = F.col("answer.elements")
+    caught = F.filter("options", lambda o: o["is_catch_all"])
+    catch_all = F.coalesce(F.arrays_overlap(picked, caught["value"]), F.lit(False)) | F.coalesce(
+        F.col("answer.write_in") & F.array_contains(caught["write_in"], True), F.lit(False)
+    )
+    least = F.greatest(F.coalesce("min_select", F.lit(1)), F.lit(1))
+    multi = F.col("question_type") == "multi"
+    absent = F.col("answer").isNull()
+    no_choice = absent | (F.col("answer.kind") != "array") | (F.size(picked) == 0)
+    reason = (
+        F.when(multi & no_choice, "missing")
+        .when(multi & ~catch_all & (F.size(picked) < least), "too few")
+        .when(~multi & (absent | (F.col("answer.json") == '""')), "missing")
     )
+    shown = _asked(responses, logic.where("is_required")).where(_page_open() & _rule_open())
+    return shown.select(*ROW, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def not_offered_options(responses: DataFrame, logic: DataFrame) -> DataFrame:
     """Choices that a carried-forward list did not offer; catch-alls, exclusives and typed text are always allowed."""
-
-    def verdict(q: Column) -> Column:
-        answer = _answer_to(q["question_key"])
-        earlier = _answer_to(q["options_from"])["elements"]
-        offered = F.transform(
-            F.filter(
-                q["options"],
-                lambda o: o["is_catch_all"] | o["exclusive"] | F.coalesce(F.array_contains(earlier, o["value"]), F.lit(False)),
-            ),
-            lambda o: o["value"],
-        )
-        typed = lambda e: answer["write_in"] & ~F.exists(q["options"], lambda o: o["value"] == e)
-        extra = F.filter(answer["elements"], lambda e: ~F.array_contains(offered, e) & ~typed(e))
-        return F.transform(extra, lambda e: F.struct(q["question_key"].alias("question_key"), e.alias("option_value")))
-
-    carried = F.filter("logic", lambda q: q["options_from"].isNotNull() & _answer_to(q["question_key"])["elements"].isNotNull())
-    return (
-        _answered(responses, logic)
-        .select("ingestion_id", "poll_id", F.explode(F.flatten(F.transform(carried, verdict))).alias("v"))
-        .select("ingestion_id", "poll_id", "v.*")
-    )
+    always = F.filter("options", lambda o: o["is_catch_all"] | o["exclusive"])["value"]
+    offered = F.concat(always, F.coalesce("earlier.elements", F.array().cast("array<string>")))
+    extra = F.array_except(F.col("answer.elements"), offered)
+    listed = F.when(F.col("answer.write_in"), F.array_intersect(extra, F.col("options.value"))).otherwise(extra)
+    carried = _asked(responses, logic.where("options_from IS NOT NULL")).where(F.col("answer").isNotNull())
+    return carried.select(*ROW, F.explode(listed).alias("option_value"))
 
 
 def exclusive_conflicts(responses: DataFrame, logic: DataFrame) -> DataFrame:
     """List answers in which an exclusive choice stands beside others."""
-
-    def verdict(q: Column) -> Column:
-        picked = _answer_to(q["question_key"])["elements"]
-        sole = F.filter(q["options"], lambda o: o["exclusive"] & F.array_contains(picked, o["value"]))
-        return F.struct(
-            q["question_key"].alias("question_key"),
-            F.array_join(F.sort_array(sole["value"]), ", ").alias("exclusive"),
-            F.size(picked).cast("long").alias("choices"),
-            F.size(sole).alias("n"),
-        )
-
-    multi = F.filter(
-        "logic", lambda q: F.coalesce(F.size(_answer_to(q["question_key"])["elements"]) > 1, F.lit(False))
-    )
-    verdicts = F.filter(F.transform(multi, verdict), lambda v: v["n"] > 0)
-    return (
-        _answered(responses, logic)
-        .select("ingestion_id", "poll_id", F.explode(verdicts).alias("v"))
-        .select("ingestion_id", "poll_id", "v.question_key", "v.exclusive", "v.choices")
+    sole = F.filter("options", lambda o: o["exclusive"])["value"]
+    picked = F.col("answer.elements")
+    found = F.array_sort(F.array_intersect(sole, picked))
+    with_sole = logic.where(F.exists("options", lambda o: o["exclusive"]))
+    several = _asked(responses, with_sole).where((F.size(picked) > 1) & F.arrays_overlap(picked, sole))
+    return several.select(
+        *ROW, F.array_join(found, ", ").alias("exclusive"), F.size(picked).cast("long").alias("choices")
     )
 
 

@@ -546,7 +546,7 @@ def table_checks(s: Survey) -> DataFrame:
 
 
 def _logic(s: Survey) -> DataFrame:
-    return definitions.survey_logic(items.poll_items(s))
+    return written(definitions.survey_logic(items.poll_items(s)), "logic")
 
 
 @query

@@ -47,6 +47,11 @@ class Survey:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for work that is heavy per row: a single file is dealt out to all cores, many files are left alone."""
+        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     @cached_property
     def base(self) -> DataFrame:
         """One row per order with the values that its document and the dimensions are made of."""

@@ -113,54 +113,14 @@ def _row_predicate(question: Column, row: Column) -> Column:
     )
 
 
-def _expanded(key: Column, q: Column, sets: Column) -> Column:
-    """A question as a list: itself, or one question per row of a matrix."""
-    kind = F.coalesce(_given(q, "type"), F.lit("single"))
-    rule = _predicate(F.variant_get(q, "$.show_if_answer", "variant"))
-    options = _options(q, sets)
-
-    def question(name: Column, type_: Column, text: Column, show_if: Column, own: bool) -> Column:
-        absent = F.lit(None).cast("string")
-        return F.struct(
-            name.alias("question_key"),
-            type_.alias("question_type"),
-            text.alias("question_text"),
-            (_given(q, "help_text") if own else absent).alias("help_text"),
-            _is_true(q, "required").alias("is_required"),
-            F.try_variant_get(q, "$.min_select", "bigint").alias("min_select"),
-            (F.try_variant_get(q, "$.max_length", "bigint") if own else absent.cast("bigint")).alias("max_length"),
-            (_given(q, "placeholder") if own else absent).alias("placeholder"),
-            F.coalesce(_json(q, "show_results") != "false", F.lit(True)).alias("show_results"),
-            (F.try_variant_get(q, "$.auto_advance", "boolean") if own else F.lit(False)).alias("auto_advance"),
-            options.alias("options"),
-            _text(q, "options_from").alias("options_from"),
-            show_if.alias("show_if"),
-        )
-
-    rows_from = _text(q, "rows_from")
-    rows = F.transform(
-        F.coalesce(F.try_variant_get(q, "$.rows", "array<string>"), F.array().cast("array<string>")),
-        lambda row: question(
-            F.concat(key, F.lit("__"), slug(row)),
-            F.when(_truthy(q, "multi"), F.lit("multi")).otherwise(F.lit("single")),
-            F.concat(_text(q, "question"), F.lit(" — "), row),
-            F.when(rows_from.isNotNull(), _row_predicate(rows_from, row)).otherwise(rule),
-            own=False,
-        ),
-    )
-    return F.when(kind == "matrix", rows).otherwise(
-        F.array(question(key, kind, _given(q, "question"), rule, own=True))
-    )
-
-
 def _questions(items: DataFrame) -> DataFrame:
     """One row per question after expansion; of two rows with one key the later wins, as in a keyed map."""
     readable = parsed(items).where("NOT broken")
-    sets = F.coalesce("doc.option_sets", F.create_map().cast("map<string,variant>"))
-    rows = (
+    q = F.col("q")
+    read = (
         readable.select(
             "poll_id",
-            sets.alias("sets"),
+            F.coalesce("doc.option_sets", F.create_map().cast("map<string,variant>")).alias("sets"),
             F.try_variant_get(F.col("doc.version"), "$", "bigint").alias("definition_version"),
             F.posexplode("doc.questions").alias("pos", "key", "q"),
         )
@@ -168,14 +128,54 @@ def _questions(items: DataFrame) -> DataFrame:
             "poll_id",
             "definition_version",
             "pos",
-            F.posexplode(_expanded(F.col("key"), F.col("q"), F.col("sets"))).alias("row", "e"),
+            "key",
+            F.coalesce(_given(q, "type"), F.lit("single")).alias("type"),
+            _text(q, "question").alias("text"),
+            _given(q, "help_text").alias("help_text"),
+            _is_true(q, "required").alias("is_required"),
+            F.try_variant_get(q, "$.min_select", "bigint").alias("min_select"),
+            F.try_variant_get(q, "$.max_length", "bigint").alias("max_length"),
+            _given(q, "placeholder").alias("placeholder"),
+            F.coalesce(_json(q, "show_results") != "false", F.lit(True)).alias("show_results"),
+            F.try_variant_get(q, "$.auto_advance", "boolean").alias("auto_advance"),
+            _truthy(q, "multi").alias("multi"),
+            _text(q, "rows_from").alias("rows_from"),
+            F.try_variant_get(q, "$.rows", "array<string>").alias("rows"),
+            _text(q, "options_from").alias("options_from"),
+            _predicate(F.variant_get(q, "$.show_if_answer", "variant")).alias("rule"),
+            _options(q, F.col("sets")).alias("options"),
         )
     )
-    repeated = rows.select("poll_id", "definition_version", "pos", "row", "e", F.col("e.question_key").alias("k"))
-    latest = repeated.groupBy("poll_id", "k").agg(
-        F.max_by(F.struct("definition_version", "e"), F.struct("pos", "row")).alias("last")
+    matrix = F.col("type") == "matrix"
+    # an ordinary question is one row without a matrix row; a matrix without rows is none
+    own = F.array(F.lit(None).cast("string"))
+    listed = read.withColumn("rows", F.when(matrix, F.coalesce("rows", F.array().cast("array<string>"))).otherwise(own))
+    by_row = F.when(matrix & F.col("rows_from").isNotNull(), _row_predicate(F.col("rows_from"), F.col("matrix_row")))
+    unless_matrix = lambda name: F.when(~matrix, F.col(name)).alias(name)
+    rows = listed.select("*", F.posexplode("rows").alias("row_no", "matrix_row")).select(
+        "poll_id",
+        "pos",
+        "row_no",
+        "definition_version",
+        F.when(matrix, F.concat("key", F.lit("__"), slug(F.col("matrix_row")))).otherwise(F.col("key")).alias("question_key"),
+        F.when(matrix, F.when(F.col("multi"), "multi").otherwise("single")).otherwise(F.col("type")).alias("question_type"),
+        F.when(matrix, F.concat("text", F.lit(" — "), "matrix_row"))
+        .otherwise(blank_to_null(F.col("text")))
+        .alias("question_text"),
+        unless_matrix("help_text"),
+        "is_required",
+        "min_select",
+        unless_matrix("max_length"),
+        unless_matrix("placeholder"),
+        "show_results",
+        F.when(matrix, F.lit(False)).otherwise(F.col("auto_advance")).alias("auto_advance"),
+        "options",
+        "options_from",
+        F.coalesce(by_row, "rule").alias("show_if"),
     )
-    return latest.select("poll_id", "last.definition_version", "last.e.*")
+    rest = F.struct(*[c for c in rows.columns if c not in ("poll_id", "pos", "row_no", "question_key")])
+    latest = rows.groupBy("poll_id", "question_key").agg(F.max_by(rest, F.struct("pos", "row_no")).alias("last"))
+    return latest.select("poll_id", "question_key", "last.*")
 
 
 def _option_rows(questions: DataFrame, described: bool) -> DataFrame:
@@ -301,32 +301,28 @@ def page_questions(items: DataFrame) -> DataFrame:
 
 
 def survey_logic(items: DataFrame) -> DataFrame:
-    """One row per poll: its questions with page, rules and options, as one list bounded by the definition."""
+    """One row per poll and question: its page with the page's rule, its own rule, and its options' flags."""
     option = lambda o: F.struct(
         F.coalesce(_text(o, "value"), F.lit("")).alias("value"),
         _truthy(o, "is_catch_all").alias("is_catch_all"),
         _truthy(o, "exclusive").alias("exclusive"),
         _truthy(o, "write_in").alias("write_in"),
     )
-    place = page_questions(items).groupBy("poll_id", "question_key").agg(
-        F.min_by(F.struct("page_no", "page_show_if"), F.struct("page_no", "group_no", "pos")).alias("page")
-    )
+    first_page = F.min_by(F.struct("page_no", "page_show_if"), F.struct("page_no", "group_no", "pos"))
+    place = page_questions(items).groupBy("poll_id", "question_key").agg(first_page.alias("page"))
     return (
         _questions(items)
         .join(place, ["poll_id", "question_key"], "left")
-        .groupBy("poll_id")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    "question_key",
-                    "question_type",
-                    "is_required",
-                    "min_select",
-                    "options_from",
-                    "show_if",
-                    "page",
-                    F.transform("options", option).alias("options"),
-                )
-            ).alias("logic")
+        .select(
+            "poll_id",
+            "question_key",
+            "question_type",
+            "is_required",
+            "min_select",
+            "options_from",
+            "show_if",
+            "page.page_no",
+            "page.page_show_if",
+            F.transform("options", option).alias("options"),
         )
     )
