@@ -90,10 +90,9 @@ def applied_rules(
     wanted = F.concat("needs", F.array("option_id")) if strict_order else F.col("needs")
     positions = F.transform(wanted, first_pos)
     joined = targets.join(rules, "option_id").withColumn("positions", positions)
-    ascending = F.forall(
-        F.sequence(F.lit(1), F.size("positions")),
-        lambda i: F.get("positions", i - 1).isNotNull()
-        & ((i == F.size("positions")) | F.coalesce(F.get("positions", i - 1) < F.get("positions", i), F.lit(False))),
+    # strictly ascending and complete: equal to its own sorted distinct values, none of them NULL
+    ascending = (F.array_sort(F.array_distinct("positions")) == F.col("positions")) & F.forall(
+        "positions", lambda p: p.isNotNull()
     )
     return joined.where(F.col("needs").isNull() | ascending).select(
         "ingestion_id", "device_id", *RULE, F.col("needs").alias("condition_sequence")
