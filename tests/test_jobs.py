@@ -1,0 +1,107 @@
+import json
+from datetime import date, datetime
+
+import pytest
+from conftest import tuples
+
+from canvass.plans import jobs
+from canvass.session import shared_dir, shared_root, written
+from canvass.sources import tables
+
+HASH = "a" * 64
+SURVEY = {
+    "questions": {
+        "pick": {"type": "single", "question": "Pick?", "options": [{"value": "A", "label": "Ay"}, {"value": "Other", "is_catch_all": True}]},
+        "why": {"type": "text", "question": "Why?"},
+    }
+}
+
+
+def raw_of(spark, *rows):
+    docs = [
+        (i, json.dumps({"poll_id": "p", "device_id": d, "external_id": x, "submitted_at": "2024-01-10T01:00:00Z", "answers": [{"question": q, "answer": a} for q, a in answers]}))
+        for i, d, x, answers in rows
+    ]
+    return spark.createDataFrame(docs, "ingestion_id bigint, raw string")
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return jobs.Store(spark, str(tmp_path / "store"))
+
+
+def test_pipeline(spark, store):
+    items = spark.createDataFrame([("p", json.dumps(SURVEY))], "id string, definition string")
+    assert tuples(jobs.sync_catalog(store, items)) == [("p",)]
+    ids = tuples(store.read("options").select("option_value", "option_id"))
+    jobs.sync_catalog(store, items)
+    assert tuples(store.read("options").select("option_value", "option_id")) == ids and store.read("questions").count() == 2
+
+    first = raw_of(spark, (1, "d1", HASH, [("pick", "A"), ("why", " Because ")]))
+    jobs.load_responses(store, first)
+    jobs.load_responses(store, first.union(raw_of(spark, (2, "d2", "", [("pick", "Other")]))))
+    assert store.read("responses").count() == 2
+
+    prompt = jobs.prepare_text(store)
+    assert "      - because\n" in prompt.first()["user_message"]
+    reply = [{"poll_id": "p", "question_key": q, "option_value": v, "taxonomies": [{"bucket": "preference", "taxonomy_path": f"T|{v}", "confidence": 0.9}]} for q, v in (("pick", "A"), ("why", "because"))]
+    replies = spark.createDataFrame([(json.dumps(reply),), ("sorry",)], "reply string")
+    assert tuples(jobs.store_replies(store, replies, "catalog")) == [("sorry",)]
+    jobs.store_replies(store, replies, "response")
+    assert [r["taxonomy_path"] for r in store.read("taxonomy").orderBy("taxonomy_path").collect()] == ["T|A", "T|because"]
+    assert jobs.prepare_text(store).count() == 0 and jobs.sync_catalog(store, items).count() == 0
+
+    at = datetime(2024, 1, 10, 2)
+    events = spark.createDataFrame([("d2", "b" * 64, at, "x", "{}")], "device_id string, user_id string, event_time timestamp_ntz, event_type string, event_properties string")
+    for _ in range(2):
+        jobs.refresh_identity(store, events, "p")
+    assert tuples(store.partitioned("identity").select("ingestion_id", "hem_source")) == [(1, "payload"), (2, "events")]
+
+    email = spark.createDataFrame([(1, HASH, 1, 1, date(2024, 1, 1)), (2, "b" * 64, 1, 1, None)], "id bigint, sha256 string, emailqualitylevel bigint, rankorder bigint, updatedate date")
+    text = ", ".join(f"{c} string" for c in "generation income_hh net_worth_hh education occupation_category marital_status home_owner ethnic_group gender".split())
+    person = spark.createDataFrame([(1, 40, *["x"] * 9, 1, 4, 1)], f"id bigint, age bigint, {text}, children_hh bigint, home_owner_ordinal bigint, owns_investments bigint")
+    place = spark.createDataFrame([(1, "F", "FL", 528)], "id bigint, gender string, state string, dma int")
+    jobs.rebuild_demographics(store, email.where("id = 1"), person, place)
+    assert store.read("demographics").count() == 1
+    assert jobs.extend_demographics(store, email, person, place) is True
+    assert jobs.extend_demographics(store, email, person, place) is False
+    assert store.read("demographics").count() == 2
+
+    mapping = spark.createDataFrame([("p", "sheet")], "poll_id string, spreadsheet_id string")
+    jobs.write_reports(store, "now", mapping)
+    rows = [r["cells"] for r in store.partitioned("reports").where("section = 4").orderBy("rank", "row_key").collect()]
+    assert rows[0][3:5] == ["Ay", " Because "] and rows[0][5] == "35-44" and rows[1][3] == ""
+
+
+def test_unfinished_snapshots_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not tables.table_exists(spark, path)
+    assert tables.write_table(spark.range(3), path) == 1
+    assert tables.write_table(tables.read_table(spark, path).union(spark.range(1)), path) == 2
+    (tmp_path / "t" / "snapshot=3").mkdir()
+    assert tables.read_table(spark, path).count() == 4 and tables.read_table(spark, path, 1).count() == 3
+    assert tables.write_table(spark.range(1), path) == 4
+
+
+def test_partitions_are_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in ([(1, "a"), (2, "b")], [(3, "a")]):
+        tables.replace_partitions(spark.createDataFrame(rows, "v int, poll_id string"), path, "poll_id")
+    assert tuples(spark.read.parquet(path)) == [(2, "b"), (3, "a")]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    df = spark.range(100).selectExpr("id", "concat('h', id % 7) AS hem")
+    for name in ("canvass_left", "canvass_right"):
+        tables.bucketed(df, name, "hem", 4)
+    joined = spark.table("canvass_left").hint("merge").join(spark.table("canvass_right"), "hem")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    for name in ("canvass_left", "canvass_right"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert shared_root(spark) == root and shared_dir(spark, "x").startswith(f"{root}/x-")
+    df = written(spark.range(5), "numbers")
+    assert df.count() == 5 and df.inputFiles()[0].startswith(f"file://{root}") or root in df.inputFiles()[0]
