@@ -51,7 +51,7 @@ def one_row_per_respondent(demographics: DataFrame) -> DataFrame:
 def match_rate(identity: DataFrame, demographics: DataFrame) -> DataFrame:
     resolved = identity.agg(F.countDistinct("hem").alias("resolved"))
     matched = demographics.agg(F.count("*").alias("matched"))
-    rows = resolved.join(F.broadcast(matched))  # two single rows
+    rows = resolved.select("resolved", matched.scalar().alias("matched"))
     return _share("respondents matched", F.col("matched"), F.col("resolved"), MATCH_RATE, rows)
 
 
@@ -65,9 +65,9 @@ def no_direct_names(spark: SparkSession, demographics: DataFrame) -> DataFrame:
 
 
 def one_row_per_submission(export: DataFrame, responses: DataFrame) -> DataFrame:
-    rows = export.agg(F.count("*").alias("n"), F.countDistinct("ingestion_id").alias("d")).join(
-        F.broadcast(responses.agg(F.count("*").alias("s")))  # single rows
-    )
+    staged = responses.agg(F.count("*").alias("s"))
+    counted = export.agg(F.count("*").alias("n"), F.countDistinct("ingestion_id").alias("d"))
+    rows = counted.select("n", "d", staged.scalar().alias("s"))
     same = (F.col("n") == F.col("s")) & (F.col("n") == F.col("d"))
     return _result(rows, "one export row per submission", same, F.col("n"), F.col("s"))
 

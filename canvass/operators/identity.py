@@ -157,8 +157,14 @@ def identity_candidates(
         blank_to_null(F.col("device_id")).alias("device_id"),
         blank_to_null(F.col("external_id")).alias("payload_external_id"),
     )
-    return own.join(per_device, ["poll_id", "device_id"], "left").select(
-        "ingestion_id", "poll_id", "device_id", "payload_external_id", "recovered_user_id", "recovered_publication"
+    # Submissions without a device would all meet in one partition of their poll; their id spreads them.
+    spread = F.coalesce("device_id", F.concat(F.lit("\0"), F.col("ingestion_id").cast("string")))
+    return (
+        own.withColumn("device_key", spread)
+        .join(per_device.withColumnRenamed("device_id", "device_key"), ["poll_id", "device_key"], "left")
+        .select(
+            "ingestion_id", "poll_id", "device_id", "payload_external_id", "recovered_user_id", "recovered_publication"
+        )
     )
 
 
@@ -186,13 +192,9 @@ def identity_summary(identity: DataFrame) -> DataFrame:
 
 def pending_responses(responses: DataFrame, identity: DataFrame, days: int = RECENT_DAYS) -> DataFrame:
     """Submissions without an identity row in polls active within `days` of the newest submission."""
-    newest = responses.agg(F.max("submitted_at").alias("newest"))
-    active = (
-        responses.groupBy("poll_id")
-        .agg(F.max("submitted_at").alias("last"))
-        .join(F.broadcast(newest))  # one row: an aggregate without keys
-        .where(F.col("last") >= F.col("newest") - F.make_dt_interval(days=F.lit(days)))
-    )
+    newest = responses.agg(F.max("submitted_at").alias("newest")).scalar()
+    last = responses.groupBy("poll_id").agg(F.max("submitted_at").alias("last"))
+    active = last.where(F.col("last") >= newest - F.make_dt_interval(days=F.lit(days)))
     return responses.join(identity, "ingestion_id", "left_anti").join(active, "poll_id", "left_semi")
 
 
@@ -276,8 +278,9 @@ def audience_profile(
     daily = _daily(_within(events, respondents), respondents, _value("user", F.lower("user_id")))
     seen = daily.join(respondents, "device_id").where(_in_window()).select("poll_id", F.col("value").alias("hem"))
     given = responses.where(F.col("external_id") != "").select("poll_id", F.lower("external_id").alias("hem"))
-    hems = seen.union(given).distinct()
-    matched = email.select("id", F.lower("sha256").alias("hem")).join(hems, "hem").select("poll_id", "id").distinct()
+    hems = written(seen.union(given).distinct(), "audience-hashes")
+    ids = email.select("id", F.lower("sha256").alias("hem")).join(hems, "hem").select("poll_id", "id").distinct()
+    matched = written(ids, "audience-persons")
     unknown = "(unknown)"
     attribute = lambda name: F.struct(
         F.lit(name.upper()).alias("dim"), F.coalesce(F.col(name), F.lit(unknown)).alias("val")

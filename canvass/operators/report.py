@@ -51,11 +51,7 @@ def question_lists(tally: DataFrame, export: DataFrame | None = None) -> DataFra
     if export is not None:
         found = export.select("poll_id", F.explode(F.map_keys("answers")).alias("question")).distinct()
         last = F.struct(F.lit(1).alias("extra"), F.lit(0).alias("pos"), F.col("question").alias("key"))
-        places = (
-            places.unionByName(found.withColumn("place", last))
-            .groupBy("poll_id", "question")
-            .agg(F.min("place").alias("place"))
-        )
+        places = places.join(found, ["poll_id", "question"], "full").withColumn("place", F.coalesce("place", last))
     ordered = F.sort_array(F.collect_list(F.struct("place", "question"))).getField("question")
     return places.groupBy("poll_id").agg(ordered.alias("questions"))
 

@@ -83,18 +83,22 @@ def report_tally(
     )
 
 
-def tally_documents(tally: DataFrame) -> DataFrame:
+def tally_documents(tally: DataFrame, size: int = 1000) -> DataFrame:
     """The tally nested per question as JSON: [{answer, count, pct}, …] by descending count.
 
-    A list holds the distinct answers of one question, already aggregated.
+    A question has one document unless it has more than `size` distinct answers, as free text can; then its answers
+    are dealt out to as many documents as keep them near that size, numbered by `part`.
     """
+    parts = tally.groupBy("poll_id", "question").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    dealt = F.pmod(F.xxhash64(F.coalesce("answer", F.lit(""))), F.col("parts")).cast("int")
+    tally = tally.join(parts, ["poll_id", "question"]).withColumn("part", dealt)
     entry = F.struct(
         (-F.col("response_count")).alias("o"),
         F.col("answer").alias("answer"),
         F.col("response_count").alias("count"),
         F.col("pct").alias("pct"),
     )
-    return tally.groupBy("poll_id", "total_responses", "question").agg(
+    return tally.groupBy("poll_id", "total_responses", "question", "part", "parts").agg(
         F.to_json(
             F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["answer"], e["count"], e["pct"]))
         ).alias("answers")

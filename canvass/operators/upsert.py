@@ -10,7 +10,7 @@ from canvass.operators.catalog import KEYS
 
 # Fixed value: first id of the new range; older ids stay below it.
 NEW_IDS_FROM = 10**12
-ID_BUCKETS = 256
+ID_BUCKETS = 4096
 
 
 def _null_safe(names: list[str]) -> list[Column]:
@@ -86,12 +86,10 @@ def assign_ids(rows: DataFrame, keys: list[str], next_id: DataFrame, name: str)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    start = next_id.toDF("_start")
     return (
         placed.withColumn("_rank", rank)
         .join(F.broadcast(offsets), "_bucket")
-        .join(F.broadcast(start))
-        .withColumn(name, F.col("_start") + F.col("_offset") + F.col("_rank") - 1)
+        .withColumn(name, next_id.scalar() + F.col("_offset") + F.col("_rank") - 1)
         .select(*rows.columns)
     )
 

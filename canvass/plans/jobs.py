@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.operators import classify, export, identity, parity, report, tally, upsert
+from canvass.session import adaptive
 from canvass.sources import definitions, schemas
 from canvass.sources.responses import stage
-from canvass.sources.tables import read_table, replace_partitions, table_exists, write_table
+from canvass.sources.tables import append_rows, path_exists, read_table, replace_partitions, table_exists, write_table
 
 
 def _now() -> Column:
@@ -19,7 +20,7 @@ class Store:
     """Tables below one folder that all executors can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = adaptive(spark), root.rstrip("/")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -35,6 +36,9 @@ class Store:
     def partitioned(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def responses(self) -> DataFrame | None:
+        return self.partitioned("responses").drop("load") if path_exists(self.spark, self.path("responses")) else None
+
 
 QUESTION_TABLE = f"{schemas.QUESTIONS}, updated_at timestamp_ntz"
 
@@ -42,10 +46,8 @@ QUESTION_TABLE = f"{schemas.QUESTIONS}, updated_at timestamp_ntz"
 def load_responses(store: Store, raw: DataFrame) -> None:
     """Stage (ingestion_id, raw) documents; a later load adds only ids that are not there yet."""
     staged = stage(raw)
-    if table_exists(store.spark, store.path("responses")):
-        stored = store.read("responses")
-        staged = stored.unionByName(parity.catch_up(staged, stored, "ingestion_id"))
-    store.write("responses", staged)
+    stored = store.responses()
+    append_rows(staged if stored is None else parity.catch_up(staged, stored, "ingestion_id"), store.path("responses"))
 
 
 def sync_catalog(store: Store, items: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def sync_catalog(store: Store, items: DataFrame) -> DataFrame:
 def prepare_text(store: Store) -> DataFrame:
     """Add the typed answers as options; returns the classifier's input (no row if nothing is left to classify)."""
     questions, options = store.read("questions"), store.read("options")
-    candidates = classify.text_option_candidates(store.read("responses"), questions)
+    candidates = classify.text_option_candidates(store.responses(), questions)
     store.write("options", upsert.add_text_options(options, candidates, _now()))
     return classify.text_prompts(store.read("options"), questions, store.read("taxonomy", schemas.TAXONOMY_TABLE))
 
@@ -78,7 +80,7 @@ def store_replies(store: Store, replies: DataFrame, source: str) -> DataFrame:
 
 def refresh_identity(store: Store, events: DataFrame, poll_id: str | None = None, pad_days: int = 1) -> None:
     """Replace the identity rows of one poll (or of every poll with submissions)."""
-    rows = identity.respondent_identity(store.read("responses"), events, poll_id, pad_days)
+    rows = identity.respondent_identity(store.responses(), events, poll_id, pad_days)
     replace_partitions(rows.withColumn("resolved_at", _now()), store.path("identity"), "poll_id")
 
 
@@ -100,7 +102,7 @@ def extend_demographics(store: Store, email: DataFrame, person: DataFrame, place
 
 def write_reports(store: Store, now: str, mapping: DataFrame | None = None) -> None:
     """Reports of all polls, or of the mapped ones, one folder per poll."""
-    responses, questions, options = store.read("responses"), store.read("questions"), store.read("options")
+    responses, questions, options = store.responses(), store.read("questions"), store.read("options")
     store.write(
         "export",
         export.response_demographics(

@@ -21,6 +21,11 @@ def read_table(spark: SparkSession, path: str, snapshot: int | None = None) -> D
     return spark.read.parquet(f"{path}/snapshot={number}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(_snapshots(spark, path, complete=True))
 
@@ -32,6 +37,15 @@ def write_table(df: DataFrame, path: str) -> int:
     return number
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """Add the rows as a folder of their own; what is stored already is not read or moved."""
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    loads = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    number = max([int(n.split("=")[1]) for n in loads if n.startswith("load=")], default=0) + 1
+    df.write.parquet(f"{path}/load={number}")
+
+
 def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     """Overwrite only the partitions present in `df`."""
     (

@@ -61,10 +61,11 @@ def run_raw_append(raw: DataFrame, table: str, checkpoint: str) -> StreamingQuer
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         start = NEW_IDS_FROM
-        if number > 0:
-            earlier = spark.read.parquet(table).where(F.col("batch") < number)
-            newest = earlier.agg(F.max("ingestion_id")).first()[0]
-            start = start if newest is None else newest + 1
+        for earlier in range(number - 1, -1, -1):  # ids grow with the batches: the last one with rows decides
+            newest = spark.read.parquet(f"{table}/batch={earlier}").agg(F.max("ingestion_id")).first()[0]
+            if newest is not None:
+                start = newest + 1
+                break
         numbered = number_rows(batch, start, "ingestion_id")
         stage(numbered).withColumn("inserted_at", F.current_timestamp()).write.mode("overwrite").parquet(
             f"{table}/batch={number}"

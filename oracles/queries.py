@@ -25,7 +25,7 @@ _B["device_attributes"] = """SELECT DISTINCT e.device_id, t.bucket, coalesce(t.t
 
 _PCT = "CAST(floor((n * 2000 + total) / (2 * total)) AS DOUBLE) / 10"
 _B["response_tally"] = f"SELECT poll_id, total AS total_responses, question, answer, n AS response_count, {_PCT} AS pct FROM tal"
-_B["tally_documents"] = f"""SELECT poll_id, total AS total_responses, question,
+_B["tally_documents"] = f"""SELECT poll_id, total AS total_responses, question, 0 AS part, 1 AS parts,
  '[' || string_agg('{{"answer":' || CAST(to_json(answer) AS VARCHAR) || ',"count":' || n || ',"pct":' || CAST({_PCT} AS VARCHAR) || '}}', ',' ORDER BY n DESC, answer) || ']' AS answers
  FROM tal GROUP BY poll_id, total, question"""
 _B["report_tally"] = "SELECT poll_id, total AS total_responses, question_key, question, CAST(q_order AS INTEGER) AS question_order, answer, n AS response_count FROM tal"

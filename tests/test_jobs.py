@@ -40,7 +40,7 @@ def test_pipeline(spark, store):
     first = raw_of(spark, (1, "d1", HASH, [("pick", "A"), ("why", " Because ")]))
     jobs.load_responses(store, first)
     jobs.load_responses(store, first.union(raw_of(spark, (2, "d2", "", [("pick", "Other")]))))
-    assert store.read("responses").count() == 2
+    assert store.responses().count() == 2
 
     prompt = jobs.prepare_text(store)
     assert "      - because\n" in prompt.first()["user_message"]
@@ -69,6 +69,8 @@ def test_pipeline(spark, store):
 
     mapping = spark.createDataFrame([("p", "sheet")], "poll_id string, spreadsheet_id string")
     jobs.write_reports(store, "now", mapping)
+    counts = dict(tuples(store.partitioned("reports").groupBy("section").count()))
+    assert counts == {0: 2, 1: 9, 2: 4, 3: 1, 4: 2}
     rows = [r["cells"] for r in store.partitioned("reports").where("section = 4").orderBy("rank", "row_key").collect()]
     assert rows[0][3:5] == ["Ay", " Because "] and rows[0][5] == "35-44" and rows[1][3] == ""
 
