@@ -26,7 +26,7 @@ from canvass.sources import definitions
 from canvass.sources import responses as source
 from canvass.sources.adapter import Survey
 
-NOW = "06/04/2026, 12:00:00"
+NOW = "03/06/2025, 08:00:00"
 QUERIES = {}
 
 

@@ -178,7 +178,7 @@ _B["survey_reports"] = _QL + f""", tot AS (SELECT poll_id, count(*) AS total FRO
  lst AS (SELECT poll_id, list(question ORDER BY no) AS qs FROM ql GROUP BY poll_id),
  cells AS (SELECT e.poll_id, e.ingestion_id, e.submitted_at, to_json(list_concat(list_concat([{", ".join(_META)}], (SELECT list(coalesce(qj.txt, '') ORDER BY ql.no) FROM ql LEFT JOIN qj ON qj.ingestion_id = e.ingestion_id AND qj.qt = ql.question WHERE ql.poll_id = e.poll_id)), [{", ".join(c for _, c in _DEMO)}])) AS c FROM exp e)
 SELECT poll_id, 0 AS section, 0 AS question_no, 0 AS line, CAST(0 AS BIGINT) AS rank, '' AS row_key, {_j("poll_id")} AS cells FROM polls
-UNION ALL SELECT poll_id, 0, 0, 1, 0, '', {_j("'Total Responses:'", "CAST(total AS VARCHAR)", "'Last Updated: 06/04/2026, 12:00:00 ET'")} FROM tot
+UNION ALL SELECT poll_id, 0, 0, 1, 0, '', {_j("'Total Responses:'", "CAST(total AS VARCHAR)", "'Last Updated: 03/06/2025, 08:00:00 ET'")} FROM tot
 UNION ALL SELECT poll_id, 1, CAST(no AS INTEGER), l, 0, '', CASE l WHEN 0 THEN '[]' WHEN 1 THEN {_j("'Q: \"' || question || '\"'")} ELSE '["Answer","Count","%"]' END FROM ql, (VALUES (0),(1),(2)) x(l)
 UNION ALL SELECT t.poll_id, 1, CAST(ql.no AS INTEGER), 3, -t.n, t.answer, {_j("t.answer", "CAST(t.n AS VARCHAR)", "printf('%.1f%%', CAST(floor((t.n * 2000 + t.total) / (2 * t.total)) AS DOUBLE) / 10)")} FROM tal t JOIN ql ON ql.poll_id = t.poll_id AND ql.question = t.question
 UNION ALL SELECT poll_id, 2, 0, l, 0, '', CASE WHEN l = 2 THEN '["RESPONSES + DEMOGRAPHICS"]' ELSE '[]' END FROM polls, (VALUES (0),(1),(2),(3)) x(l)

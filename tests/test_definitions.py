@@ -5,28 +5,28 @@ from conftest import tuples
 
 from canvass.sources import definitions
 
-BRANDS = [{"value": "Pluto TV"}, {"value": "None Of These", "is_catch_all": True, "exclusive": True}]
+CHANNELS = [{"value": "Alpha TV"}, {"value": "Neither", "is_catch_all": True, "exclusive": True}]
 MATRIX = {
     "poll_id": "p",
-    "option_sets": {"brands": BRANDS},
+    "option_sets": {"channels": CHANNELS},
     "pages": [
-        {"page_id": "a", "groups": [{"questions": ["heard"]}]},
-        {"page_id": "b", "groups": [{"questions": ["fav", "note"]}]},
+        {"page_id": "a", "groups": [{"questions": ["known"]}]},
+        {"page_id": "b", "groups": [{"questions": ["view", "note"]}]},
     ],
     "questions": {
-        "heard": {"type": "multi", "question": "Heard of?", "required": True, "options": "brands"},
-        "fav": {
+        "known": {"type": "multi", "question": "Known?", "required": True, "options": "channels"},
+        "view": {
             "type": "matrix",
-            "question": "Opinion?",
+            "question": "View?",
             "help_text": "not carried",
             "required": True,
             "show_results": False,
-            "rows": ["Pluto TV", "Samsung TV Plus"],
-            "rows_from": "heard",
-            "options_from": "heard",
+            "rows": ["Alpha TV", "Beta TV Plus"],
+            "rows_from": "known",
+            "options_from": "known",
             "options": [{"value": "Good"}, {"value": "Bad"}],
         },
-        "note": {"type": "text", "question": "Anything else?", "max_length": 300, "options": [{"value": "never"}]},
+        "note": {"type": "text", "question": "More?", "max_length": 250, "options": [{"value": "never"}]},
     },
 }
 
@@ -44,21 +44,21 @@ def items(spark):
 def test_matrix_and_option_sets(items):
     source = items(("p", json.dumps(MATRIX)))
     rows = {r["question_key"]: r for r in definitions.questions(source).collect()}
-    assert set(rows) == {"heard", "fav__pluto_tv", "fav__samsung_tv_plus", "note"}
-    row = rows["fav__samsung_tv_plus"]
-    assert row["question_type"] == "single" and row["question_text"] == "Opinion? — Samsung TV Plus"
+    assert set(rows) == {"known", "view__alpha_tv", "view__beta_tv_plus", "note"}
+    row = rows["view__beta_tv_plus"]
+    assert row["question_type"] == "single" and row["question_text"] == "View? — Beta TV Plus"
     assert row["is_required"] and not row["show_results"] and row["auto_advance"] is False and row["help_text"] is None
-    assert rows["note"]["max_length"] == 300 and rows["note"]["show_results"] is True
+    assert rows["note"]["max_length"] == 250 and rows["note"]["show_results"] is True
     opts = tuples(definitions.options(source).select("question_key", "option_value", "is_catch_all", "sort_order"))
-    assert [o for o in opts if o[0] == "heard"] == [("heard", "None Of These", True, 1), ("heard", "Pluto TV", False, 0)]
+    assert [o for o in opts if o[0] == "known"] == [("known", "Alpha TV", False, 0), ("known", "Neither", True, 1)]
     assert not [o for o in opts if o[0] == "note"]
-    assert len([o for o in opts if o[0].startswith("fav__")]) == 4
+    assert len([o for o in opts if o[0].startswith("view__")]) == 4
     pages = tuples(definitions.page_questions(source).select("page_no", "pos", "question_key"))
-    assert pages == [(0, 0, "heard"), (1, 0, "fav__pluto_tv"), (1, 1, "fav__samsung_tv_plus"), (1, 2, "note")]
+    assert pages == [(0, 0, "known"), (1, 0, "view__alpha_tv"), (1, 1, "view__beta_tv_plus"), (1, 2, "note")]
     logic = {r["question_key"]: r for r in definitions.survey_logic(source).collect()}
-    shown = logic["fav__samsung_tv_plus"]["show_if"]
-    assert (shown["question"], shown["op"], shown["list"]) == ("heard", "array_contains", ['"Samsung TV Plus"'])
-    assert logic["heard"]["options"][1]["exclusive"] is True
+    shown = logic["view__beta_tv_plus"]["show_if"]
+    assert (shown["question"], shown["op"], shown["list"]) == ("known", "array_contains", ['"Beta TV Plus"'])
+    assert logic["known"]["options"][1]["exclusive"] is True
 
 
 def test_multi_matrix_and_repeated_rows(items):

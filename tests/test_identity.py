@@ -29,8 +29,8 @@ def sent(at, **doc):
 @pytest.mark.parametrize(
     "first, last, pad, want",
     [
-        ("2026-05-29T13:29:55.695Z", "2026-06-02T19:40:55.657Z", 1, (date(2026, 5, 28), date(2026, 6, 3))),
-        ("2026-03-01", "2026-03-31", 2, (date(2026, 2, 27), date(2026, 4, 2))),
+        ("2025-03-04T13:29:55.695Z", "2025-03-08T19:40:55.657Z", 1, (date(2025, 3, 3), date(2025, 3, 9))),
+        ("2025-05-01", "2025-05-31", 2, (date(2025, 4, 29), date(2025, 6, 2))),
         ("nope", "nope", 1, (None, None)),
     ],
 )
@@ -72,14 +72,14 @@ def test_publication_only_from_survey_events(submit, events):
     rows = submit(sent("2024-01-10T01:00:00Z"))
     at = "2024-01-10 01:00:00"
     seen = events(
-        ("d1", None, at, "[Guides-Surveys] shown", '{"publication_name":"Herald"}'),
+        ("d1", None, at, "[Guides-Surveys] shown", '{"publication_name":"Gazette"}'),
         ("d1", None, at, "page view", '{"publication_name":"Other"}'),
         ("d1", None, at, "page view", '{"publication_name":"Other"}'),
         ("d1", None, at, "G", '{"publication_name":"Letter"}'),
         ("d1", None, at, "[Guides-Surveys] x", '{"publication_name":""}'),
         ("d1", None, at, "[Guides-Surveys] x", '{"other":1}'),
     )
-    assert tuples(identity.device_publication(rows, seen)) == [("p", "d1", "Herald")]
+    assert tuples(identity.device_publication(rows, seen)) == [("p", "d1", "Gazette")]
 
 
 def test_every_submission_survives(submit, events):
@@ -147,7 +147,7 @@ def people(spark):
         ],
         f"id bigint, age bigint, {text}, children_hh bigint, gender string, home_owner_ordinal bigint, owns_investments bigint",
     )
-    place = spark.createDataFrame([(2, "X", "FL", 528), (5, None, "GA", 524)], "id bigint, gender string, state string, dma int")
+    place = spark.createDataFrame([(2, "X", "TX", 77), (5, None, "GA", 524)], "id bigint, gender string, state string, dma int")
     return email, person, place
 
 
@@ -157,7 +157,7 @@ def test_one_person_per_respondent(spark):
     rows = {r["hem"]: r for r in identity.respondent_demographics(who, email, person, place).collect()}
     assert set(rows) == set(HASHES[:3])
     a, b, c = (rows[h] for h in HASHES[:3])
-    assert (a["age_band"], a["gender"], a["state"], a["has_children_hh"], a["affinity_investor"], a["affinity_homeowner"]) == ("35-44", "X", "FL", False, True, False)
+    assert (a["age_band"], a["gender"], a["state"], a["has_children_hh"], a["affinity_investor"], a["affinity_homeowner"]) == ("35-44", "X", "TX", False, True, False)
     assert (b["age_band"], b["gender"], b["state"], b["has_children_hh"], b["affinity_homeowner"]) == (None, "M", "GA", None, None)
     assert c["age_band"] is None and c["generation"] is None
 

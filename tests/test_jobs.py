@@ -60,7 +60,7 @@ def test_pipeline(spark, store):
     email = spark.createDataFrame([(1, HASH, 1, 1, date(2024, 1, 1)), (2, "b" * 64, 1, 1, None)], "id bigint, sha256 string, emailqualitylevel bigint, rankorder bigint, updatedate date")
     text = ", ".join(f"{c} string" for c in "generation income_hh net_worth_hh education occupation_category marital_status home_owner ethnic_group gender".split())
     person = spark.createDataFrame([(1, 40, *["x"] * 9, 1, 4, 1)], f"id bigint, age bigint, {text}, children_hh bigint, home_owner_ordinal bigint, owns_investments bigint")
-    place = spark.createDataFrame([(1, "F", "FL", 528)], "id bigint, gender string, state string, dma int")
+    place = spark.createDataFrame([(1, "F", "TX", 77)], "id bigint, gender string, state string, dma int")
     jobs.rebuild_demographics(store, email.where("id = 1"), person, place)
     assert store.read("demographics").count() == 1
     assert jobs.extend_demographics(store, email, person, place) is True

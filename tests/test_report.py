@@ -1,19 +1,17 @@
-import json
 from datetime import datetime
 
 import pytest
-from conftest import tuples
 
 from canvass.operators import export, report
 
-NOW = "06/04/2026, 12:00:00"
-SELF, FLAV = "Do you use GLP-1?", "Which flavors?"
+NOW = "03/06/2025, 08:00:00"
+RIDE, FRUIT = "Do you cycle?", "Which fruit?"
 META = [n for n, _ in report.META_COLUMNS]
 DEMO = [n for n, _ in report.DEMOGRAPHIC_COLUMNS]
 FULL = dict(
-    age_band="65+", generation="Boomer", income_hh="$100,000 - $149,999", net_worth_hh="Greater than $499,999",
-    education="Completed College", occupation_category="Professional", marital_status="Married", home_owner="Home Owner",
-    ethnic_group="Western European", has_children_hh=False, gender="F", state="FL", dma=528,
+    age_band="65+", generation="Elder", income_hh="High", net_worth_hh="Upper",
+    education="Degree", occupation_category="Office", marital_status="Married", home_owner="Owner",
+    ethnic_group="Group 7", has_children_hh=False, gender="F", state="TX", dma=77,
     affinity_investor=True, affinity_homeowner=True,
 )
 SCHEMA = (
@@ -26,10 +24,10 @@ SCHEMA = (
 @pytest.fixture(scope="module")
 def tally_rows(spark):
     rows = [
-        ("p1", 2, "k1", FLAV, 0, "Citrus", 1),
-        ("p1", 2, "k1", FLAV, 0, "Berry", 2),
-        ("p1", 2, "k0", SELF, 1, "Yes", 1),
-        ("p1", 2, "k0", SELF, 1, "No", 1),
+        ("p1", 2, "k1", FRUIT, 0, "Plum", 1),
+        ("p1", 2, "k1", FRUIT, 0, "Pear", 2),
+        ("p1", 2, "k0", RIDE, 1, "Yes", 1),
+        ("p1", 2, "k0", RIDE, 1, "No", 1),
     ]
     return spark.createDataFrame(
         rows, "poll_id string, total_responses bigint, question_key string, question string, question_order int, answer string, response_count bigint"
@@ -42,8 +40,8 @@ def export_rows(spark):
         rows = []
         for poll in polls or ("p1",):
             full = [FULL[c] for c in export.DEMOGRAPHICS]
-            rows.append((poll, 1, datetime(2026, 5, 29, 13, 29, 55), "Miami", "payload", *full, {SELF: "Yes", FLAV: "Citrus, Berry"}))
-            rows.append((poll, 2, datetime(2026, 5, 30, 9), None, None, *[None] * 15, {SELF: "No"}))
+            rows.append((poll, 1, datetime(2025, 3, 4, 5, 6, 7), "North", "payload", *full, {RIDE: "Yes", FRUIT: "Plum, Pear"}))
+            rows.append((poll, 2, datetime(2025, 3, 5, 9), None, None, *[None] * 15, {RIDE: "No"}))
         return spark.createDataFrame(rows, SCHEMA)
 
     return build
@@ -55,31 +53,31 @@ def grid(reports, poll):
 
 
 def test_wide_grid(export_rows):
-    df = report.response_grid(export_rows(), [FLAV, SELF], "p1")
-    assert df.columns == [*META, FLAV, SELF, *DEMO]
+    df = report.response_grid(export_rows(), [FRUIT, RIDE], "p1")
+    assert df.columns == [*META, FRUIT, RIDE, *DEMO]
     first, second = df.orderBy("Response ID").collect()
-    assert first[SELF] == "Yes" and first[FLAV] == "Citrus, Berry" and first["Age Band"] == "65+"
-    assert first["Has Children"] == "No" and first["Affinity: Investor"] == "Yes" and first["DMA"] == "528"
-    assert second[FLAV] == "" and all(second[d] == "" for d in DEMO) and second["Market"] == ""
+    assert first[RIDE] == "Yes" and first[FRUIT] == "Plum, Pear" and first["Age Band"] == "65+"
+    assert first["Has Children"] == "No" and first["Affinity: Investor"] == "Yes" and first["DMA"] == "77"
+    assert second[FRUIT] == "" and all(second[d] == "" for d in DEMO) and second["Market"] == ""
 
 
 def test_question_order(tally_rows, export_rows):
-    assert report.ordered_questions(tally_rows, export_rows(), "p1") == [FLAV, SELF]
+    assert report.ordered_questions(tally_rows, export_rows(), "p1") == [FRUIT, RIDE]
     # without a tally by name; questions missing from the tally follow
-    assert report.ordered_questions(tally_rows.limit(0), export_rows(), "p1") == [SELF, FLAV]
-    assert report.ordered_questions(tally_rows.where("question_order = 0"), export_rows(), "p1") == [FLAV, SELF]
+    assert report.ordered_questions(tally_rows.limit(0), export_rows(), "p1") == [RIDE, FRUIT]
+    assert report.ordered_questions(tally_rows.where("question_order = 0"), export_rows(), "p1") == [FRUIT, RIDE]
     unknown = tally_rows.selectExpr("poll_id", "question_key", "question", "IF(question_order = 0, NULL, 1) AS question_order")
-    assert report.ordered_questions(unknown, export_rows(), "p1") == [SELF, FLAV]
+    assert report.ordered_questions(unknown, export_rows(), "p1") == [RIDE, FRUIT]
 
 
 def test_stacked_report(tally_rows, export_rows):
     rows = grid(report.survey_reports(tally_rows, export_rows(), NOW), "p1")
     assert rows[:2] == [["p1"], ["Total Responses:", "2", f"Last Updated: {NOW} ET"]]
-    assert rows[2:7] == [[], [f'Q: "{FLAV}"'], ["Answer", "Count", "%"], ["Berry", "2", "100.0%"], ["Citrus", "1", "50.0%"]]
-    assert rows[7:12] == [[], [f'Q: "{SELF}"'], ["Answer", "Count", "%"], ["No", "1", "50.0%"], ["Yes", "1", "50.0%"]]
+    assert rows[2:7] == [[], [f'Q: "{FRUIT}"'], ["Answer", "Count", "%"], ["Pear", "2", "100.0%"], ["Plum", "1", "50.0%"]]
+    assert rows[7:12] == [[], [f'Q: "{RIDE}"'], ["Answer", "Count", "%"], ["No", "1", "50.0%"], ["Yes", "1", "50.0%"]]
     assert rows[12:16] == [[], [], [report.DIVIDER], []]
-    assert rows[16] == [*META, FLAV, SELF, *DEMO]
-    assert [r[0] for r in rows[17:]] == ["1", "2"] and rows[17][1] == "2026-05-29 13:29:55.000"
+    assert rows[16] == [*META, FRUIT, RIDE, *DEMO]
+    assert [r[0] for r in rows[17:]] == ["1", "2"] and rows[17][1] == "2025-03-04 05:06:07.000"
 
 
 def test_one_report_per_poll_and_empty_polls(spark, tally_rows, export_rows):
@@ -108,20 +106,20 @@ def test_writing_replaces_only_the_given_polls(spark, tally_rows, export_rows, t
 def test_export(spark, submit, options):
     opts = options((1, "m", "A", "catalog", False, "Label A"), (2, "m", "Z", "catalog", True), (3, "m", "N", "catalog", None), (4, "t", "typed", "response"))
     rows = submit(
-        {"answers": [("m", ["N", "A", "A", "Z", " "]), ("t", "Typed \"q\""), ("n", 5), ("k2", "x")], "market_name": "mia"},
+        {"answers": [("m", ["N", "A", "A", "Z", " "]), ("t", "Typed \"q\""), ("n", 5), ("k2", "x")], "market_name": "nor"},
         {"answers": [("k1", "y"), ("k2", "x")], "market_name": ""},
         {"answers": []},
     )
     questions = spark.createDataFrame([("p", "k1", "Same?"), ("p", "k2", "Same?"), ("p", "m", None)], "poll_id string, question_key string, question_text string")
-    who = spark.createDataFrame([(1, "a" * 64, "payload", None), (2, None, None, "Herald")], "ingestion_id bigint, hem string, hem_source string, publication_name string")
+    who = spark.createDataFrame([(1, "a" * 64, "payload", None), (2, None, None, "Gazette")], "ingestion_id bigint, hem string, hem_source string, publication_name string")
     persons = export_demographics(spark)
     got = {r["ingestion_id"]: r for r in export.response_demographics(rows, questions, opts, who, persons).collect()}
     # catch-alls and blanks dropped, an unset flag kept, free text kept, equal question texts merged
     assert got[1]["answers"] == {"Same?": "x", "m": "Label A, N", "t": 'Typed "q"'}
     assert got[2]["answers"] == {"Same?": "x, y"} and got[3]["answers"] == {}
     assert [(got[i]["market_name"], got[i]["identity_source"], got[i]["age_band"]) for i in (1, 2, 3)] == [
-        ("mia", "payload", "65+"),
-        ("Herald", None, None),
+        ("nor", "payload", "65+"),
+        ("Gazette", None, None),
         (None, None, None),
     ]
 
@@ -130,6 +128,3 @@ def export_demographics(spark):
     columns = SCHEMA.split("identity_source string, ")[1].split(", answers")[0]
     return spark.createDataFrame([("a" * 64, *[FULL[c] for c in export.DEMOGRAPHICS])], f"hem string, {columns}")
 
-
-def test_documents_in_json(export_rows):
-    assert json.loads(json.dumps(export_rows().first()["answers"]))[SELF] == "Yes"
