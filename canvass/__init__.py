@@ -1 +1 @@
-"""Survey analytics as Spark jobs: submissions, definitions, events and person tables in, typed tables and reports out."""
+"""Survey analytics as Spark jobs: submissions, definitions, events and persons in, typed tables and reports out."""

@@ -36,7 +36,8 @@ def copy_parity(name: str, source: DataFrame, copy: DataFrame, id_column: str |
     columns = sorted(set(source.columns) & set(copy.columns))
     s = fingerprint(source, columns).toDF("source_count", "s_hash")
     c = fingerprint(copy, columns).toDF("copied_count", "c_hash")
-    both = s.select("*", c.select("copied_count").scalar().alias("copied_count"), c.select("c_hash").scalar().alias("c_hash"))
+    other = c.select(F.struct("copied_count", "c_hash")).scalar()
+    both = s.select("*", other.alias("c")).select("*", "c.*")
     same = (F.col("source_count") == F.col("copied_count")) & (F.col("s_hash") == F.col("c_hash"))
     return both.select(
         F.lit(name).alias("object_name"),

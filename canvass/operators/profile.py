@@ -131,9 +131,8 @@ def profile_sync(
     lists = facts.distinct().groupBy("device_id", "single", "user_property", "value").agg(
         F.to_json(F.sort_array(F.collect_list("path"))).alias("paths")
     )
-    return lists.select(
-        "device_id", "user_property", F.when(F.col("single"), F.col("value")).otherwise(F.col("paths")).alias("user_property_value")
-    )
+    value = F.when(F.col("single"), F.col("value")).otherwise(F.col("paths"))
+    return lists.select("device_id", "user_property", value.alias("user_property_value"))
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

@@ -106,7 +106,9 @@ def tally_block(tally: DataFrame, polls: DataFrame, now: str) -> DataFrame:
             F.lit(1).alias("line"), _text("Total Responses:", count, f"Last Updated: {now} ET").alias("cells")
         ),
     )
-    heading = totals.select("poll_id", F.explode(top).alias("t")).select(*_row(0, F.col("t.cells"), line=F.col("t.line")))
+    heading = totals.select("poll_id", F.explode(top).alias("t")).select(
+        *_row(0, F.col("t.cells"), line=F.col("t.line"))
+    )
     lists = question_lists(tally).select("poll_id", F.posexplode("questions").alias("no", "question"))
     titles = F.array(
         F.struct(F.lit(0).alias("line"), _text().alias("cells")),

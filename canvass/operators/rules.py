@@ -174,11 +174,11 @@ def page_funnel(clicks: DataFrame) -> DataFrame:
     A respondent counts once per button however often it is pressed.
     """
     page = F.regexp_extract("button", "^Q([0-9]+)$", 1)
+    submitted = F.col("button") == "Submit"
+    step = F.when(submitted, F.lit(2**31 - 1)).otherwise(F.try_to_number(page, F.lit("999999999")).cast("int"))
     return (
-        clicks.where((page != "") | (F.col("button") == "Submit"))
+        clicks.where((page != "") | submitted)
         .groupBy("poll_id", "button")
         .agg(F.countDistinct("respondent_id").alias("respondents"))
-        .withColumn(
-            "step", F.when(F.col("button") == "Submit", F.lit(2**31 - 1)).otherwise(F.try_to_number(page, F.lit("999999999")).cast("int"))
-        )
+        .withColumn("step", step)
     )

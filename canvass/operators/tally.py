@@ -15,7 +15,9 @@ def _counts(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both come from one aggregation over the answers; the order reads its (small) result again, so the shuffle is
     reused. Answers without elements keep one row: they count for the order but not for the tally.
     """
-    rows = answers(responses).select("poll_id", "question_key", "kind", "pos", F.posexplode_outer("elements").alias("i", "answer_value"))
+    rows = answers(responses).select(
+        "poll_id", "question_key", "kind", "pos", F.posexplode_outer("elements").alias("i", "answer_value")
+    )
     grouped = rows.groupBy("poll_id", "question_key", "kind", "answer_value").agg(
         F.count("i").alias("response_count"), F.min("pos").alias("first_pos")
     )

@@ -264,7 +264,7 @@ def rejected_replies(s: Survey) -> DataFrame:
 
 @query
 def taxonomy_rule(s: Survey) -> DataFrame:
-    return upsert.taxonomy_rule(
+    rule = upsert.taxonomy_rule(
         s.options,
         require_poll_id("poll_4"),
         "flags",
@@ -273,7 +273,16 @@ def taxonomy_rule(s: Survey) -> DataFrame:
         0.8,
         taxonomy_path="Orders|Returned",
         condition_option_ids=[410001],
-    ).select("option_id", "bucket", "taxonomy_path", "taxonomy_depth", _json("taxonomy_levels"), "confidence", _json("condition_sequence"))
+    )
+    return rule.select(
+        "option_id",
+        "bucket",
+        "taxonomy_path",
+        "taxonomy_depth",
+        _json("taxonomy_levels"),
+        "confidence",
+        _json("condition_sequence"),
+    )
 
 
 # Definitions and upserts ---------------------------------------------------------------------------------------
@@ -485,24 +494,24 @@ def _copy(s: Survey) -> DataFrame:
     """A copy made before the last submissions, with a changed document now and then."""
     key = F.col("ingestion_id")
     changed = F.when(key % 1000 == 7, F.concat("raw", F.lit(" "))).otherwise(F.col("raw"))
-    return s.raw.where(key % 100 != 99).withColumn("raw", changed)
+    return s.landed.where(key % 100 != 99).withColumn("raw", changed)
 
 
 @query
 def copy_parity(s: Survey) -> DataFrame:
-    return parity.copy_parity("submissions", s.raw, _copy(s), "ingestion_id").unionByName(
+    return parity.copy_parity("submissions", s.landed, _copy(s), "ingestion_id").unionByName(
         parity.copy_parity("options", s.options, s.options, "option_id")
     )
 
 
 @query
 def catch_up(s: Survey) -> DataFrame:
-    return parity.catch_up(s.raw, _copy(s), "ingestion_id").select("ingestion_id")
+    return parity.catch_up(s.landed, _copy(s), "ingestion_id").select("ingestion_id")
 
 
 @query
 def id_conflicts(s: Survey) -> DataFrame:
-    return parity.conflicts(s.raw, _copy(s), "ingestion_id")
+    return parity.conflicts(s.landed, _copy(s), "ingestion_id")
 
 
 @query
@@ -514,7 +523,7 @@ def id_faults(s: Survey) -> DataFrame:
 
 @query
 def rolled_back(s: Survey) -> DataFrame:
-    rows = parity.rollback_rows(s.raw, _copy(s), "ingestion_id")
+    rows = parity.rollback_rows(s.landed, _copy(s), "ingestion_id")
     return rows.select("ingestion_id", F.col("raw").endswith(" ").alias("changed"))
 
 
@@ -533,11 +542,11 @@ def export_checks(s: Survey) -> DataFrame:
 def table_checks(s: Survey) -> DataFrame:
     lines = s.table("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"))
     return checks.union(
-        checks.ids_valid("submissions", s.raw, "ingestion_id"),
+        checks.ids_valid("submissions", s.landed, "ingestion_id"),
         checks.ids_valid("options", s.options, "option_id"),
         checks.ids_valid("lines", lines, "line_id"),
-        checks.no_conflicts("submissions", s.raw, _copy(s), "ingestion_id"),
-        checks.copies_equal("submissions", s.raw, _copy(s), "ingestion_id"),
+        checks.no_conflicts("submissions", s.landed, _copy(s), "ingestion_id"),
+        checks.copies_equal("submissions", s.landed, _copy(s), "ingestion_id"),
         checks.copies_equal("options", s.options, s.options, "option_id"),
     )
 

@@ -13,7 +13,7 @@ from canvass.streaming import live
 def live_option_counts(survey: Survey) -> DataFrame:
     """Counter table after all files are taken in, from the last batch of the stream."""
     folder = shared_dir(survey.spark, "live-counts")
-    survey.raw.select("raw").write.text(f"{folder}/landing")
+    survey.landed.select("raw").write.text(f"{folder}/landing")
     arriving = live.raw_stream(survey.spark, f"{folder}/landing")
     run = live.run_option_counts(stage(arriving), f"{folder}/counts", f"{folder}/checkpoint")
     run.awaitTermination()

@@ -20,6 +20,9 @@ from canvass.session import written
 from canvass.sources import responses as source
 
 
+CHANNELS = ("Web", "Store", "Phone")
+
+
 def device(number: Column) -> Column:
     return F.concat(F.lit("dev_"), number.cast("string"))
 
@@ -48,7 +51,7 @@ class Survey:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row: a single file is dealt out to all cores, many files are left alone."""
+        """A table for work that is heavy per row: a single file is dealt out to all cores, many are left alone."""
         rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
         return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
@@ -116,7 +119,7 @@ class Survey:
             answer(
                 "channel",
                 F.when(channel == 3, F.concat(F.lit("Other "), (F.col("customer") % 7).cast("string"))).otherwise(
-                    F.element_at(F.array(F.lit("Web"), F.lit("Store"), F.lit("Phone")), (channel % 3 + 1).cast("int"))
+                    F.element_at(F.array(*[F.lit(v) for v in CHANNELS]), (channel % 3 + 1).cast("int"))
                 ),
                 "single",
                 channel == 3,
@@ -139,9 +142,13 @@ class Survey:
             ).alias("raw"),
         )
 
+    @cached_property
+    def landed(self) -> DataFrame:
+        return written(self.raw, "landed")
+
     @cached_property
     def responses(self) -> DataFrame:
-        return written(source.stage(self.raw).drop("raw"), "responses")
+        return written(source.stage(self.landed).drop("raw"), "responses")
 
     @cached_property
     def options(self) -> DataFrame:
@@ -181,7 +188,7 @@ class Survey:
                 F.array(entry("note", F.lower(F.trim("typed")), "response", brand, 3)),
                 lambda e: e["option_value"] != "",
             ),
-            F.array(*[entry("channel", F.lit(v), "catalog", F.lit(i + 1), 4) for i, v in enumerate(("Web", "Store", "Phone"))]),
+            F.array(*[entry("channel", F.lit(v), "catalog", F.lit(i), 4) for i, v in enumerate(CHANNELS, 1)]),
         )
         distinct = self.base.select("poll_id", F.explode(entries).alias("e")).select("poll_id", "e.*").distinct()
         question, value = F.col("question_key"), F.col("option_value")
@@ -249,11 +256,15 @@ class Survey:
             return rule("consumption", name, no_text, no_text, no_text, confidence, needs)
 
         plain = path("Returns|")
-        ordered = [path("Returns|A|After F", F.array(first), 1.0), path("Returns|A|After F then N", F.array(first, second), 1.0)]
+        ordered = [
+            path("Returns|A|After F", F.array(first), 1.0),
+            path("Returns|A|After F then N", F.array(first, second), 1.0),
+        ]
+        status = rule("preference", F.concat(F.lit("Orders|Status|"), value), no_text, no_text, no_text, 0.9, no_rule)
         rules = (
             F.when(
                 question == "status",
-                F.array(rule("preference", F.concat(F.lit("Orders|Status|"), value), no_text, no_text, no_text, 0.9, no_rule)),
+                F.array(status),
             )
             .when((question == "flags") & (value == "A"), F.array(plain, *ordered))
             .when(question == "flags", F.array(plain))

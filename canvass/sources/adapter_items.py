@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.sources.adapter import Survey, device
+from canvass.sources.adapter import CHANNELS, Survey, device
 
 # The definition of the adapter's own polls: two conditional pages, a carried-forward list, an exclusive choice.
 POLL_DEFINITION = {
@@ -188,7 +188,7 @@ def replies(survey: Survey) -> DataFrame:
             F.struct(
                 F.concat(F.lit("poll_"), (key % 5 + 1).cast("string")).alias("poll_id"),
                 F.lit("channel").alias("question_key"),
-                F.element_at(F.array(F.lit("Web"), F.lit("Store"), F.lit("Phone")), (key % 3 + 1).cast("int")).alias("option_value"),
+                F.element_at(F.array(*[F.lit(v) for v in CHANNELS]), (key % 3 + 1).cast("int")).alias("option_value"),
                 found.alias("taxonomies"),
             )
         )
@@ -225,10 +225,11 @@ def respondents(survey: Survey) -> DataFrame:
 def tokens(survey: Survey) -> DataFrame:
     key = F.col("c_custkey")
     values = ["on", "off", " Control ", "on-le", None, "", "No", "ON"]
+    listed = F.array(*[F.lit(v) for v in values])
     entries = [
         F.struct(
             F.lit(f"flag_{i}").alias("flag"),
-            F.element_at(F.array(*[F.lit(v) for v in values]), ((key + i) % len(values) + 1).cast("int")).alias("token"),
+            F.element_at(listed, ((key + i) % len(values) + 1).cast("int")).alias("token"),
         )
         for i in range(1, 6)
     ]
@@ -248,9 +249,8 @@ def poll_flags(survey: Survey) -> DataFrame:
 
 def clicks(survey: Survey) -> DataFrame:
     kind = F.col("event_type")
-    button = (
-        F.when(kind == "view", "Q1").when(kind == "click", "Q2").when(kind == "signup", "Q3").when(kind == "purchase", "Submit")
-    ).otherwise("Close")
+    button = F.when(kind == "view", "Q1").when(kind == "click", "Q2").when(kind == "signup", "Q3")
+    button = button.when(kind == "purchase", "Submit").otherwise("Close")
     return survey.table("events").select(
         F.concat(F.lit("poll_"), (F.col("user_id") % 5 + 1).cast("string")).alias("poll_id"),
         device(F.col("user_id")).alias("respondent_id"),

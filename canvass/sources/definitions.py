@@ -151,14 +151,16 @@ def _questions(items: DataFrame) -> DataFrame:
     own = F.array(F.lit(None).cast("string"))
     listed = read.withColumn("rows", F.when(matrix, F.coalesce("rows", F.array().cast("array<string>"))).otherwise(own))
     by_row = F.when(matrix & F.col("rows_from").isNotNull(), _row_predicate(F.col("rows_from"), F.col("matrix_row")))
+    row_key = F.concat("key", F.lit("__"), slug(F.col("matrix_row")))
+    row_type = F.when(F.col("multi"), "multi").otherwise("single")
     unless_matrix = lambda name: F.when(~matrix, F.col(name)).alias(name)
     rows = listed.select("*", F.posexplode("rows").alias("row_no", "matrix_row")).select(
         "poll_id",
         "pos",
         "row_no",
         "definition_version",
-        F.when(matrix, F.concat("key", F.lit("__"), slug(F.col("matrix_row")))).otherwise(F.col("key")).alias("question_key"),
-        F.when(matrix, F.when(F.col("multi"), "multi").otherwise("single")).otherwise(F.col("type")).alias("question_type"),
+        F.when(matrix, row_key).otherwise(F.col("key")).alias("question_key"),
+        F.when(matrix, row_type).otherwise(F.col("type")).alias("question_type"),
         F.when(matrix, F.concat("text", F.lit(" — "), "matrix_row"))
         .otherwise(blank_to_null(F.col("text")))
         .alias("question_text"),
@@ -248,7 +250,7 @@ def questions(items: DataFrame) -> DataFrame:
 
 
 def options(items: DataFrame) -> DataFrame:
-    """Options of all but text questions; the position in the list is the sort order, a label equal to the value NULL."""
+    """Options of all but text questions; their place in the list is the sort order, a label equal to the value NULL."""
     rows = _option_rows(_questions(items).where("question_type <> 'text'"), described=True)
     old = _legacy_questions(items)
     return rows if old is None else rows.unionByName(_option_rows(old, described=False))

@@ -71,7 +71,8 @@ def run_raw_append(raw: DataFrame, table: str, checkpoint: str) -> StreamingQuer
             f"{table}/batch={number}"
         )
 
-    return raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
+    stream = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return stream.trigger(availableNow=True).start()
 
 
 def run_option_counts(responses: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
