@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from canvass.plans.registry import QUERIES
+from oracles.queries import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -17,10 +19,11 @@ def con():
 
 
 def test_names():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     same, note = compare.compare(spark, con, FOLDER, name)
     assert same, note
