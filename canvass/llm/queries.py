@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from canvass.llm import mixing
 from canvass.llm.common import table
+from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
 from canvass.llm.substrings import substring_dedup
 
@@ -19,9 +21,19 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_frames(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_source_mix": op7_source_mix,
+    "op10_token_frames": op10_token_frames,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_source_mix": mixing.ORACLE}
