@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canvass.llm import mixing
+from canvass.llm import line_dedup, mixing
 from canvass.llm.common import table
 from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
+from canvass.llm.pii import find_pii
 from canvass.llm.substrings import substring_dedup
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "pages")))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -30,10 +39,15 @@ def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mix": op7_source_mix,
     "op10_token_frames": op10_token_frames,
 }
 
-ORACLES: dict[str, str] = {"op7_source_mix": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE,
+    "op7_source_mix": mixing.ORACLE,
+}
