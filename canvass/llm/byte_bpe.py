@@ -15,23 +15,18 @@ import numpy as np
 PIECES = 500_000
 
 
-class ByteBPE:
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+class IdTable:
+    """Token ids of distinct pieces of text, one after the other in one array."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
+    def __init__(self):
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _add(self, piece: str, ids) -> None:
+    def add(self, piece: str, ids) -> None:
         k, n = len(self.index), len(ids)
         if k == len(self.starts):
             self.starts, self.lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lengths))
@@ -41,13 +36,30 @@ class ByteBPE:
         self.index[piece], self.starts[k], self.lengths[k] = k, self.used, n
         self.used += n
 
+    def joined(self, k: np.ndarray) -> np.ndarray:
+        """The ids of pieces number k, in that order."""
+        if not len(k):
+            return self.ids[:0]
+        lengths = self.lengths[k]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.starts[k] - ends + lengths, lengths) + np.arange(ends[-1])]
+
+
+class ByteBPE:
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.known = Tokenizer.from_file(path), IdTable()
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces; those that begin with one space and end visibly are encoded as one text."""
-        if len(self.index) + len(pieces) > PIECES:
-            self._clear()
         plain = [p for p in pieces if p[0] == " " and not p[-1].isspace()]
         for p in set(pieces).difference(plain):
-            self._add(p, self._whole(p))
+            self.known.add(p, self._whole(p))
         for at in range(0, len(plain), 10_000):
             some = plain[at : at + 10_000]
             code = self.tokenizer.encode("".join(some), add_special_tokens=False)
@@ -56,23 +68,21 @@ class ByteBPE:
             ends = np.cumsum([len(p) for p in some])
             cuts = np.searchsorted(begins, ends).tolist()
             for p, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True):
-                self._add(p, ids[a:b])
+                self.known.add(p, ids[a:b])
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of one text (uint32)."""
         if "\0" in text or "<|" in text:
             return np.array(self._whole(text), np.uint32)
         pieces = text.replace(" ", "\0 ").split("\0")
-        found = list(map(self.index.get, pieces))
+        found = list(map(self.known.index.get, pieces))
         if None in found:
             if any(p[:1] == " " and not p[1:2].strip() for p, k in zip(pieces, found, strict=True) if k is None):
                 return np.array(self._whole(text), np.uint32)
             new = list(dict.fromkeys(p for p, k in zip(pieces, found, strict=True) if k is None))
+            if len(self.known.index) + len(new) > PIECES:
+                self.known.clear()
+                new = [p for p in dict.fromkeys(pieces) if p]
             self._learn(new)
-            if any(p not in self.index for p in pieces):  # the cache was cleared
-                self._learn([p for p in dict.fromkeys(pieces) if p not in self.index])
-            found = list(map(self.index.get, pieces))
-        k = np.array(found, np.int64)
-        lengths = self.lengths[k]
-        ends = np.cumsum(lengths)
-        return self.ids[np.repeat(self.starts[k] - ends + lengths, lengths) + np.arange(ends[-1])]
+            found = list(map(self.known.index.get, pieces))
+        return self.known.joined(np.array(found, np.int64))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from canvass.llm import line_dedup, mixing
 from canvass.llm.common import table
+from canvass.llm.fertility import quality_rules
 from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
 from canvass.llm.pii import find_pii
@@ -34,6 +35,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mix": op7_source_mix,
+    "op8_fertility_rules": op8_fertility_rules,
     "op10_token_frames": op10_token_frames,
 }
 
