@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from canvass.llm import line_dedup, mixing
 from canvass.llm.common import table
+from canvass.llm.decontaminate import contamination
 from canvass.llm.fertility import quality_rules
 from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
@@ -39,6 +40,10 @@ def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mix": op7_source_mix,
     "op8_fertility_rules": op8_fertility_rules,
+    "op9_contamination": op9_contamination,
     "op10_token_frames": op10_token_frames,
 }
 
