@@ -13,7 +13,9 @@ from canvass.llm.fertility import quality_rules
 from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
 from canvass.llm.pii import find_pii
+from canvass.llm.quality import quality
 from canvass.llm.substrings import substring_dedup
+from canvass.llm.toxicity import toxicity
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +30,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -52,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mix": op7_source_mix,
     "op8_fertility_rules": op8_fertility_rules,
