@@ -177,17 +177,16 @@ def _aligned(threshold: float):
                         item = item_h[item_starts[k] : item_starts[k + 1]]
                         score, a, b = best_alignment(item, text, np.array(x["diagonals"], np.int64))
                         if score >= threshold:
-                            out.append((part.column(0)[r].as_py(), x["item_id"], score, a, b))
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                columns = zip(*out, strict=True) if out else [[]] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "score", "first_word", "end_word"]
-                )
+                            out.append((part.column(0)[r].as_py(), part.column(3)[r].as_py(), x["item_id"], score, a, b))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                columns = zip(*out, strict=True) if out else [[]] * 6
+                names = ["doc_id", "doc", "item_id", "score", "first_word", "end_word"]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
-def contamination(
+def found_items(
     docs: DataFrame,
     benchmark: DataFrame,
     n: int = N,
@@ -198,7 +197,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per document and item it holds: doc_id, item_id, score, first_word and end_word of the best alignment."""
+    """As `contamination`, with a hash of the document's text (doc)."""
     spark = docs.sparkSession
     small_batches(spark)
     item_text = F.col(f"`{item_text_col}`")
@@ -240,5 +239,18 @@ def contamination(
     pairs = pairs.groupBy("doc_id", "doc").agg(F.collect_list("x").alias("found")).toDF("of_id", "of", "found")
     texts = hits.select("doc_id", "doc", "text").dropDuplicates(["doc_id", "doc"])
     met = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc") == F.col("of")))
-    schema = "doc_id long, item_id long, score double, first_word long, end_word long"
-    return met.select("doc_id", "text", "found").mapInArrow(_aligned(threshold), schema)
+    schema = "doc_id long, doc long, item_id long, score double, first_word long, end_word long"
+    return met.select("doc_id", "text", "found", "doc").mapInArrow(_aligned(threshold), schema)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """One row per document and item it holds: doc_id, item_id, score, first_word and end_word of the best alignment."""
+    return found_items(docs, benchmark, **options).drop("doc")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that hold no item."""
+    found = found_items(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    found = found.select(F.col("doc_id").alias("_id"), F.col("doc").alias("_doc")).distinct()
+    own = F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("_doc"))
+    return docs.alias("d").join(found, own, "left_anti")

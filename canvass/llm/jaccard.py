@@ -60,11 +60,11 @@ def signature(found: np.ndarray) -> int:
 
 
 def _digest_rows(n: int):
-    """A row (id, n_shingles, sig) per text; at a task's end, its counters, in rows (chunk, counts)."""
+    """A row (id, n_shingles, sig, content) per text; at a task's end, its counters, in rows (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
-        names = ["id", "n_shingles", "sig", "chunk", "counts"]
+        names = ["id", "n_shingles", "sig", "content", "chunk", "counts"]
         for batch in batches:
             for part in pieces(batch, 1):
                 found = sets(part.column(1), n)
@@ -73,14 +73,21 @@ def _digest_rows(n: int):
                 total += np.bincount(slots.astype(np.int64), minlength=1 << SLOT_BITS)
                 no = pa.nulls(len(found), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(map(signature, found), pa.int64()), no, pa.nulls(len(found), pa.binary())],
+                    [
+                        part.column(0),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(map(signature, found), pa.int64()),
+                        part.column(2),
+                        no,
+                        pa.nulls(len(found), pa.binary()),
+                    ],
                     names,
                 )
         if total.any():
             chunks = np.minimum(total, 2**32 - 1).astype("<u4").reshape(-1, 1 << CHUNK_BITS)
             no = pa.nulls(len(chunks), pa.int64())
             blobs = pa.array([x.tobytes() for x in chunks], pa.binary())
-            yield pa.RecordBatch.from_arrays([no, no, no, pa.array(range(len(chunks)), pa.int32()), blobs], names)
+            yield pa.RecordBatch.from_arrays([no, no, no, no, pa.array(range(len(chunks)), pa.int32()), blobs], names)
 
     return run
 
@@ -194,9 +201,10 @@ class NearCopies:
             F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"),
             F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         )
-        schema = "id long, n_shingles long, sig long, chunk int, counts binary"
-        found = written(self.docs.mapInArrow(_digest_rows(n), schema), "jaccard-digests")
-        self.digests = found.filter("chunk is null").select("id", "n_shingles", "sig")
+        schema = "id long, n_shingles long, sig long, content long, chunk int, counts binary"
+        found = self.docs.withColumn("content", F.xxhash64("text")).mapInArrow(_digest_rows(n), schema)
+        found = written(found, "jaccard-digests")
+        self.digests = found.filter("chunk is null").select("id", "n_shingles", "sig", "content")
         self.classes = self.digests.filter("n_shingles > 0").groupBy("sig").agg(
             F.min("id").alias("id"), F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("least")
         )
@@ -270,10 +278,14 @@ class NearCopies:
         )
         return x.join(y, meets).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
 
+    def _roots(self) -> DataFrame:
+        """The component of each class: sig, root, and the class's least id other than NULL."""
+        found = self.classes.join(self.components.withColumnRenamed("node", "sig"), "sig", "left")
+        return found.select("sig", "least", F.coalesce("root", "sig").alias("root"))
+
     def result(self) -> DataFrame:
         """id, n_shingles and component_id of every row."""
-        roots = self.classes.join(self.components.withColumnRenamed("node", "sig"), "sig", "left")
-        roots = roots.select("sig", "least", F.coalesce("root", "sig").alias("root"))
+        roots = self._roots()
         least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
         by_class = roots.join(least, "root").select("sig", "component_id")
         own = F.when(F.col("id") != NO_ID, F.col("id"))
@@ -282,7 +294,29 @@ class NearCopies:
         columns = [own.alias("id"), F.col("n_shingles"), F.col("component_id")]
         return known.select(*columns).union(alone.select(*columns))
 
+    def kept(self) -> DataFrame:
+        """The row of each component that stays (id, content), the one of the least id; and all rows without words."""
+        rows = self.digests.filter("n_shingles > 0").join(self._roots(), "sig")
+        first = F.min(F.struct(F.col("id") == NO_ID, F.col("id"), F.col("content"))).alias("first")
+        one = rows.groupBy("root").agg(first).select("first.id", "first.content", F.lit(True).alias("once"))
+        rest = self.digests.filter("n_shingles = 0").select("id", "content", F.lit(False)).distinct()
+        return one.union(rest)
 
-def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def jaccard_components(
+    docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id that links lead to, its own included)."""
     return NearCopies(docs, n, percent, id_col, text_col).result().withColumnRenamed("id", "doc_id")
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, with the columns of `docs`; rows without words all stay."""
+    kept = NearCopies(docs, n, percent, id_col, text_col).kept().toDF("_id", "_content", "_once")
+    own_id = F.coalesce(F.col(f"d.`{id_col}`").cast("long"), F.lit(NO_ID))
+    content = F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`"), F.lit("")))
+    met = docs.alias("d").join(kept, (own_id == F.col("_id")) & (content == F.col("_content")))
+    nth = F.row_number().over(Window.partitionBy("_id", "_content").orderBy(F.lit(0)))
+    columns = [F.col(f"d.`{c}`").alias(f"d{i}") for i, c in enumerate(docs.columns)]
+    met = met.select(*columns, "_once", nth.alias("_nth")).filter("_nth = 1 or not _once")
+    return met.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(docs.columns)])
