@@ -1,4 +1,4 @@
-"""Survey tables derived from the star-schema test tables, in full and at any scale factor.
+"""Survey tables derived from all rows of the star-schema test tables, at any scale factor.
 
 An order is a submission, its priority the poll, its customer the device; status, return flags, the brand of its
 first part, a numeric rating and a channel are the answers. The answers are written to a JSON document and go
@@ -50,10 +50,9 @@ class Survey:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row: a single file is dealt out to all cores, many are left alone."""
-        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for work that is heavy per row: dealt out by its key, as the given files are few and large."""
+        return self.table(name).repartition(key)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -72,10 +71,10 @@ class Survey:
                 key.alias("ingestion_id"),
                 F.concat(F.lit("poll_"), F.substring("o_orderpriority", 1, 1)).alias("poll_id"),
                 F.when(key % 50 == 1, F.lit(""))
-                .when(key % 50 != 0, device(customer % 150))
+                .when(key % 50 != 0, device(customer))
                 .alias("device_id"),
-                F.when(customer % 10 < 2, device_hash(customer % 150))
-                .when(customer % 10 == 2, F.concat(F.lit("  "), F.upper(device_hash(customer % 150)), F.lit(" ")))
+                F.when(customer % 10 < 2, device_hash(customer))
+                .when(customer % 10 == 2, F.concat(F.lit("  "), F.upper(device_hash(customer)), F.lit(" ")))
                 .when(customer % 10 == 3, F.lit("garbage"))
                 .otherwise(F.lit(""))
                 .alias("external_id"),
@@ -297,7 +296,7 @@ class Survey:
         return self.table("events").select(
             device(user).alias("device_id"),
             F.when(F.col("event_type") == "error", F.lit(None))
-            .when(k % 10 == 0, device_hash((user + 1) % 150))
+            .when(k % 10 == 0, device_hash(user + 1))
             .otherwise(device_hash(user))
             .alias("user_id"),
             F.col("ts").alias("event_time"),
@@ -315,11 +314,12 @@ class Survey:
 
     @cached_property
     def email(self) -> DataFrame:
-        """Ten persons per hash, so that choosing one is exercised."""
+        """Two hashes per person, their own and one that three of them share, so that choosing one is exercised."""
         key = F.col("c_custkey")
+        hashes = F.array(device_hash(key), device_hash(F.floor(key / 3)))
         return self.table("customer").select(
             key.alias("id"),
-            device_hash(key % 150).alias("sha256"),
+            F.explode(hashes).alias("sha256"),
             F.when(key % 13 != 0, key % 5).alias("emailqualitylevel"),
             F.when(key % 17 != 0, key % 7).alias("rankorder"),
             F.date_add(F.lit("2024-01-01").cast("date"), (key % 300).cast("int")).alias("updatedate"),

@@ -146,7 +146,7 @@ def catalog_items(survey: Survey) -> DataFrame:
             _list(_option(kind, label=kind), _option(brand, label="B")).alias("options"),
         )
     )
-    return survey.spread("part").select(
+    return survey.spread("part", "p_partkey").select(
         F.concat(F.lit("survey_"), key.cast("string")).alias("id"),
         F.when(key % 10 == 5, twice)
         .when(key % 10 == 8, F.substring(definition, 1, 80))
@@ -202,7 +202,7 @@ def replies(survey: Survey) -> DataFrame:
             ).alias("content")
         )
     )
-    return survey.spread("part").select(
+    return survey.spread("part", "p_partkey").select(
         F.when(key % 10 == 9, F.concat(F.lit("Sorry: "), document))
         .when(key % 3 == 1, fenced)
         .when(key % 3 == 2, message)

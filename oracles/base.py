@@ -5,9 +5,9 @@ WITH li AS (
  SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS flags, min(l_partkey) AS pk FROM lineitem GROUP BY l_orderkey),
 sub AS (
  SELECT o_orderkey AS ingestion_id, 'poll_' || substr(o_orderpriority,1,1) AS poll_id,
-  CASE WHEN o_orderkey % 50 = 1 THEN '' WHEN o_orderkey % 50 <> 0 THEN 'dev_' || CAST(o_custkey % 150 AS VARCHAR) END AS device_id,
-  CASE WHEN o_custkey % 10 < 2 THEN sha256('dev_' || CAST(o_custkey % 150 AS VARCHAR))
-       WHEN o_custkey % 10 = 2 THEN '  ' || upper(sha256('dev_' || CAST(o_custkey % 150 AS VARCHAR))) || ' '
+  CASE WHEN o_orderkey % 50 = 1 THEN '' WHEN o_orderkey % 50 <> 0 THEN 'dev_' || CAST(o_custkey AS VARCHAR) END AS device_id,
+  CASE WHEN o_custkey % 10 < 2 THEN sha256('dev_' || CAST(o_custkey AS VARCHAR))
+       WHEN o_custkey % 10 = 2 THEN '  ' || upper(sha256('dev_' || CAST(o_custkey AS VARCHAR))) || ' '
        WHEN o_custkey % 10 = 3 THEN 'garbage' ELSE '' END AS external_id,
   CASE WHEN o_custkey % 3 = 0 THEN 'Market ' || CAST(o_custkey % 5 AS VARCHAR) ELSE '' END AS market_name,
   TIMESTAMP '2024-01-02 00:00:00' + to_days(CAST(o_orderkey % 28 AS INTEGER)) + to_seconds(o_orderkey % 86400) AS submitted_at,
@@ -78,7 +78,7 @@ prof AS (
  UNION ALL SELECT DISTINCT device_id, demographic_key, demographic_value FROM ut WHERE bucket = 'demographic' AND demographic_key IS NOT NULL),
 ev AS (
  SELECT 'dev_' || CAST(user_id AS VARCHAR) AS device_id,
-  CASE WHEN event_type = 'error' THEN NULL WHEN CAST(props->>'k' AS BIGINT) % 10 = 0 THEN sha256('dev_' || CAST((user_id + 1) % 150 AS VARCHAR)) ELSE sha256('dev_' || CAST(user_id AS VARCHAR)) END AS user_id,
+  CASE WHEN event_type = 'error' THEN NULL WHEN CAST(props->>'k' AS BIGINT) % 10 = 0 THEN sha256('dev_' || CAST(user_id + 1 AS VARCHAR)) ELSE sha256('dev_' || CAST(user_id AS VARCHAR)) END AS user_id,
   ts AS event_time, CASE WHEN event_type = 'view' THEN '[Guides-Surveys] view' ELSE event_type END AS event_type,
   CASE WHEN CAST(props->>'k' AS BIGINT) % 7 = 0 THEN '' WHEN CAST(props->>'k' AS BIGINT) % 11 <> 0 THEN 'pub_' || CAST(CAST(props->>'k' AS BIGINT) % 3 AS VARCHAR) END AS publication FROM events),
 win AS (
@@ -101,7 +101,7 @@ idn AS (
   CASE WHEN regexp_full_match(lower(trim(payload_external_id)), '[0-9a-f]{64}') THEN 'payload' WHEN regexp_full_match(lower(trim(recovered_user_id)), '[0-9a-f]{64}') THEN 'events' END AS hem_source,
   recovered_publication AS publication_name FROM cand),
 eml AS (
- SELECT c_custkey AS id, sha256('dev_' || CAST(c_custkey % 150 AS VARCHAR)) AS sha256, CASE WHEN c_custkey % 13 <> 0 THEN c_custkey % 5 END AS q, CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 7 END AS r,
+ SELECT c_custkey AS id, sha256('dev_' || CAST(unnest([c_custkey, c_custkey // 3]) AS VARCHAR)) AS sha256, CASE WHEN c_custkey % 13 <> 0 THEN c_custkey % 5 END AS q, CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 7 END AS r,
   DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER) AS u FROM customer),
 per AS (
  SELECT c_custkey AS id, CASE WHEN c_custkey % 11 <> 0 THEN 18 + c_custkey % 70 END AS age, 'gen_' || (c_custkey % 4) AS generation, CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS income_hh,
