@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 KEYS = ["poll_id", "question_key"]
 # Question types that are classified option by option.
 CHOICE_TYPES = ["single", "multi"]
-# Fixed value: free-text answers taken per classification run.
-TEXT_LIMIT = 5000
 
 
 def survey_catalog(questions: DataFrame, options: DataFrame, poll_id: str | None = None) -> DataFrame:
@@ -105,21 +103,21 @@ def text_answers(
     taxonomy: DataFrame,
     poll_id: str | None = None,
     unclassified_only: bool = False,
-    limit: int = TEXT_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Typed answers in key order, the first `limit` of them (the work list of one run)."""
+    """Typed answers in key order: all, or the first `limit` of them."""
     rows = options.where("option_source = 'response'")
     if poll_id is not None:
         rows = rows.where(F.col("poll_id") == poll_id)
     if unclassified_only:
         rows = rows.join(taxonomy, "option_id", "left_anti")
     named = questions.select(*KEYS, "question_text", "question_type")
-    return (
+    ordered = (
         rows.join(named, KEYS)
         .select("option_id", *KEYS, "option_value", "question_text", "question_type")
         .orderBy(*KEYS, "option_value", "option_id")
-        .limit(limit)
     )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def catalog_view(questions: DataFrame, options: DataFrame) -> DataFrame:

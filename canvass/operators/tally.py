@@ -85,22 +85,21 @@ def report_tally(
     )
 
 
-def tally_documents(tally: DataFrame, size: int = 1000) -> DataFrame:
+def tally_documents(tally: DataFrame, parts: int) -> DataFrame:
     """The tally nested per question as JSON: [{answer, count, pct}, …] by descending count.
 
-    A question has one document unless it has more than `size` distinct answers, as free text can; then its answers
-    are dealt out to as many documents as keep them near that size, numbered by `part`.
+    Every question's answers are dealt out to `parts` documents by a digest of the answer, so that the documents of a
+    free-text question can be kept small; documents without answers are left out.
     """
-    parts = tally.groupBy("poll_id", "question").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    dealt = F.pmod(F.xxhash64(F.coalesce("answer", F.lit(""))), F.col("parts")).cast("int")
-    tally = tally.join(parts, ["poll_id", "question"]).withColumn("part", dealt)
+    digest = F.conv(F.substring(F.md5(F.coalesce("answer", F.lit(""))), 1, 7), 16, 10).cast("int")
+    tally = tally.withColumn("part", digest % parts)
     entry = F.struct(
         (-F.col("response_count")).alias("o"),
         F.col("answer").alias("answer"),
         F.col("response_count").alias("count"),
         F.col("pct").alias("pct"),
     )
-    return tally.groupBy("poll_id", "total_responses", "question", "part", "parts").agg(
+    return tally.groupBy("poll_id", "total_responses", "question", "part").agg(
         F.to_json(
             F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["answer"], e["count"], e["pct"]))
         ).alias("answers")
@@ -108,9 +107,9 @@ def tally_documents(tally: DataFrame, size: int = 1000) -> DataFrame:
 
 
 def answer_patterns(
-    responses: DataFrame, options: DataFrame, poll_id: str | None = None, top: int = 50
+    responses: DataFrame, options: DataFrame, poll_id: str | None = None, top: int | None = None
 ) -> DataFrame:
-    """The `top` most frequent ordered pairs of string answers to two questions, per poll.
+    """Ordered pairs of string answers to two questions with their counts, per poll: all, or the `top` most frequent.
 
     Pairs are formed inside each document, so no self join; they are counted before option ids are looked up.
     Ties are broken by the pair itself.
@@ -135,9 +134,11 @@ def answer_patterns(
     )
     pair = ["q1_key", "q1_option", "q2_key", "q2_option"]
     counted = pairs.groupBy("poll_id", *pair).agg(F.count("*").alias("co_count"))
-    # row_number up to a fixed k: Spark keeps at most k rows per poll and task before the shuffle
-    ranked = Window.partitionBy("poll_id").orderBy(F.desc("co_count"), *pair)
-    best = counted.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top).drop("rank")
+    best = counted
+    if top is not None:
+        # row_number up to a fixed k: Spark keeps at most k rows per poll and task before the shuffle
+        ranked = Window.partitionBy("poll_id").orderBy(F.desc("co_count"), *pair)
+        best = counted.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top).drop("rank")
     catalog = options.where("option_source = 'catalog'").select("poll_id", "question_key", "option_value", "option_id")
     for side in ("q1", "q2"):
         named = catalog.select(

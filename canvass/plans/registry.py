@@ -127,7 +127,7 @@ def response_tally(s: Survey) -> DataFrame:
 
 @query
 def tally_documents(s: Survey) -> DataFrame:
-    return tally.tally_documents(response_tally(s))
+    return tally.tally_documents(response_tally(s), parts=4)
 
 
 @query
@@ -137,7 +137,7 @@ def report_tally(s: Survey) -> DataFrame:
 
 @query
 def answer_patterns(s: Survey) -> DataFrame:
-    return tally.answer_patterns(s.responses, s.options)
+    return tally.answer_patterns(s.responses, s.options, top=50)
 
 
 # Catalog, taxonomy and classification --------------------------------------------------------------------------
@@ -170,6 +170,11 @@ def taxonomy_counts(s: Survey) -> DataFrame:
     return catalog.taxonomy_counts(s.taxonomy)
 
 
+@query
+def answer_pairs(s: Survey) -> DataFrame:
+    return tally.answer_patterns(s.responses, s.options)
+
+
 @query
 def text_answers(s: Survey) -> DataFrame:
     return catalog.text_answers(s.options, s.questions, s.taxonomy)
@@ -235,12 +240,18 @@ def existing_taxonomies(s: Survey) -> DataFrame:
 
 @query
 def option_prompts(s: Survey) -> DataFrame:
-    return classify.option_prompts(s.questions, s.options, s.taxonomy).select("poll_id", "user_message")
+    return classify.option_prompts(s.questions, s.options).select("poll_id", "user_message")
 
 
 @query
 def text_prompts(s: Survey) -> DataFrame:
-    return classify.text_prompts(s.options, s.questions, s.taxonomy).select("polls", "user_message")
+    prompts = classify.text_prompts(s.options, s.questions, s.taxonomy, lines=20)
+    return prompts.select("poll_id", "batch", "user_message")
+
+
+@query
+def taxonomy_reference(s: Survey) -> DataFrame:
+    return classify.taxonomy_reference(s.taxonomy)
 
 
 def _replies(s: Survey) -> DataFrame:

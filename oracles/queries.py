@@ -23,19 +23,22 @@ _B["profile_summary"] = "SELECT user_property, count(*) AS row_cnt, count(DISTIN
 _B["device_attributes"] = """SELECT DISTINCT e.device_id, t.bucket, coalesce(t.taxonomy_path, t.demographic_key || ' = ' || t.demographic_value) AS profile_attribute
  FROM el e JOIN opt o ON o.poll_id = e.poll_id AND o.question_key = e.question_key AND o.option_value = e.v AND o.option_source = 'catalog' JOIN tax t USING (option_id) WHERE e.kind = 'string'"""
 
+_HASH = "CAST('0x' || substr(md5({}), 1, 7) AS INTEGER)"
 _PCT = "CAST(floor((n * 2000 + total) / (2 * total)) AS DOUBLE) / 10"
 _B["response_tally"] = f"SELECT poll_id, total AS total_responses, question, answer, n AS response_count, {_PCT} AS pct FROM tal"
-_B["tally_documents"] = f"""SELECT poll_id, total AS total_responses, question, 0 AS part, 1 AS parts,
+_B["tally_documents"] = f"""SELECT poll_id, total AS total_responses, question, {_HASH.format("answer")} % 4 AS part,
  '[' || string_agg('{{"answer":' || CAST(to_json(answer) AS VARCHAR) || ',"count":' || n || ',"pct":' || CAST({_PCT} AS VARCHAR) || '}}', ',' ORDER BY n DESC, answer) || ']' AS answers
- FROM tal GROUP BY poll_id, total, question"""
+ FROM tal GROUP BY ALL"""
 _B["report_tally"] = "SELECT poll_id, total AS total_responses, question_key, question, CAST(q_order AS INTEGER) AS question_order, answer, n AS response_count FROM tal"
-_B["answer_patterns"] = """, a AS (SELECT * FROM el WHERE kind = 'string'),
+_PAIRS = """, a AS (SELECT * FROM el WHERE kind = 'string'),
  pairs AS (SELECT a1.poll_id, a1.question_key AS q1_key, a1.v AS q1_option, a2.question_key AS q2_key, a2.v AS q2_option, count(*) AS co_count
   FROM a a1 JOIN a a2 ON a2.ingestion_id = a1.ingestion_id AND a2.pos > a1.pos AND a2.question_key <> a1.question_key GROUP BY ALL),
  best AS (SELECT *, row_number() OVER (PARTITION BY poll_id ORDER BY co_count DESC, q1_key, q1_option, q2_key, q2_option) AS rn FROM pairs)
 SELECT b.poll_id, q1_key, o1.option_id AS q1_option_id, q1_option, q2_key, o2.option_id AS q2_option_id, q2_option, co_count FROM best b
  LEFT JOIN opt o1 ON o1.poll_id = b.poll_id AND o1.question_key = q1_key AND o1.option_value = q1_option AND o1.option_source = 'catalog'
- LEFT JOIN opt o2 ON o2.poll_id = b.poll_id AND o2.question_key = q2_key AND o2.option_value = q2_option AND o2.option_source = 'catalog' WHERE rn <= 50"""
+ LEFT JOIN opt o2 ON o2.poll_id = b.poll_id AND o2.question_key = q2_key AND o2.option_value = q2_option AND o2.option_source = 'catalog'"""
+_B["answer_pairs"] = _PAIRS
+_B["answer_patterns"] = f"{_PAIRS} WHERE rn <= 50"
 
 _B["survey_catalog"] = """SELECT q.poll_id, q.question_key, q.question_type, q.question_text, o.option_id, o.option_value, o.option_label, o.option_description, o.is_catch_all, o.sort_order
  FROM que q JOIN opt o ON o.poll_id = q.poll_id AND o.question_key = q.question_key WHERE o.option_source = 'catalog'"""
@@ -48,8 +51,8 @@ _B["taxonomy_rows"] = _TAXROW
 _B["taxonomy_filtered"] = "SELECT o.poll_id, o.option_value, t.taxonomy_path, t.confidence FROM tax t JOIN opt o USING (option_id) WHERE t.bucket = 'consumption' AND t.confidence >= 0.8 AND o.option_source = 'catalog' AND t.taxonomy_path LIKE 'Returns|%'"
 _B["taxonomy_counts"] = "SELECT demographic_key, demographic_value, demographic_type, count(*) AS options FROM tax WHERE bucket = 'demographic' GROUP BY ALL"
 _TEXT = "SELECT o.option_id, o.poll_id, o.question_key, o.option_value, q.question_text, q.question_type FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'response'"
-_B["text_answers"] = f"{_TEXT} ORDER BY o.poll_id, o.question_key, o.option_value LIMIT 5000"
-_B["unclassified_text"] = f"{_TEXT} AND NOT EXISTS (SELECT 1 FROM tax t WHERE t.option_id = o.option_id) ORDER BY o.poll_id, o.question_key, o.option_value LIMIT 5000"
+_B["text_answers"] = f"{_TEXT}"
+_B["unclassified_text"] = f"{_TEXT} AND NOT EXISTS (SELECT 1 FROM tax t WHERE t.option_id = o.option_id)"
 _B["text_option_candidates"] = "SELECT DISTINCT e.poll_id, e.question_key, lower(trim(e.v)) AS option_value, 'response' AS option_source FROM el e JOIN que q USING (poll_id, question_key) WHERE e.kind = 'string' AND trim(e.v) <> '' AND q.question_type = 'text'"
 _VIEW = "SELECT q.poll_id, q.question_key, q.question_text, o.option_value, o.option_label, o.is_catch_all, o.updated_at FROM que q JOIN opt o USING (poll_id, question_key) WHERE o.option_source = 'catalog'"
 _B["catalog_view"] = _VIEW
@@ -64,20 +67,15 @@ _B["classification_status"] = """SELECT p.poll_id, (SELECT count(*) FROM tax t J
 _B["options_to_classify"] = "SELECT o.poll_id, o.question_key, q.question_text, o.option_value, o.option_label, o.is_catch_all, o.sort_order FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'catalog' AND q.question_type IN ('single','multi')"
 _B["existing_taxonomies"] = "SELECT DISTINCT bucket, taxonomy_path, demographic_key FROM tax"
 
-_REF = """, ref AS (SELECT 'Here are the classifications already in use. Reuse these taxonomy paths and demographic keys wherever applicable. Do not create duplicates.' || chr(10) || chr(10)
- || (SELECT 'consumption taxonomy paths:' || chr(10) || string_agg('  - ' || p, chr(10) ORDER BY p) FROM (SELECT DISTINCT taxonomy_path AS p FROM tax WHERE bucket = 'consumption')) || chr(10) || chr(10)
- || (SELECT 'preference taxonomy paths:' || chr(10) || string_agg('  - ' || p, chr(10) ORDER BY p) FROM (SELECT DISTINCT taxonomy_path AS p FROM tax WHERE bucket = 'preference')) || chr(10) || chr(10)
- || (SELECT 'demographic keys:' || chr(10) || string_agg('  - ' || p, chr(10) ORDER BY p) FROM (SELECT DISTINCT demographic_key AS p FROM tax WHERE bucket = 'demographic')) || chr(10) || chr(10) || '---' || chr(10) || chr(10) AS txt)"""
-_B["option_prompts"] = _REF + """, ln AS (SELECT o.poll_id, o.question_key, max(q.question_text) AS qt, string_agg('      - ' || o.option_value || CASE WHEN o.option_label IS NOT NULL THEN ' (' || o.option_label || ')' ELSE '' END || CASE WHEN o.is_catch_all THEN ' [catch-all]' ELSE '' END || chr(10), '' ORDER BY o.sort_order, o.option_value) AS body
-  FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'catalog' AND q.question_type IN ('single','multi') GROUP BY o.poll_id, o.question_key),
- nq AS (SELECT *, row_number() OVER (PARTITION BY poll_id ORDER BY question_key) AS no FROM ln)
-SELECT poll_id, (SELECT txt FROM ref) || 'Classify each answer option in the following surveys.' || chr(10) || chr(10) || 'Survey: ' || poll_id || chr(10) ||
- string_agg('  Q' || no || ' [' || question_key || ']: ' || coalesce('"' || qt || '"', '(no question text — infer from poll context and answer options)') || chr(10) || '    Options:' || chr(10) || body, '' ORDER BY no) AS user_message FROM nq GROUP BY poll_id"""
-_B["text_prompts"] = _REF + f""", r AS ({_TEXT} AND o.option_id NOT IN (SELECT option_id FROM tax) ORDER BY o.poll_id, o.question_key, o.option_value LIMIT 5000),
- ln AS (SELECT poll_id, question_key, max(question_text) AS qt, string_agg('      - ' || option_value || chr(10), '' ORDER BY option_value) AS body FROM r GROUP BY poll_id, question_key),
- nq AS (SELECT *, row_number() OVER (PARTITION BY poll_id ORDER BY question_key) AS no FROM ln),
- bl AS (SELECT poll_id, 'Survey: ' || poll_id || chr(10) || string_agg('  Q' || no || ' [' || question_key || ']: "' || qt || '" (free-text question)' || chr(10) || '    Responses to classify:' || chr(10) || body, '' ORDER BY no) AS b FROM nq GROUP BY poll_id)
-SELECT count(*) AS polls, (SELECT txt FROM ref) || 'Classify each free-text response below. Treat each response as if it were a predefined answer option.' || chr(10) || chr(10) || string_agg(b, chr(10) ORDER BY poll_id) AS user_message FROM bl"""
+_B["taxonomy_reference"] = "SELECT DISTINCT bucket AS section, CASE WHEN bucket = 'demographic' THEN demographic_key ELSE taxonomy_path END AS line FROM tax"
+_BODY = "string_agg('[' || question_key || '] ' || coalesce('\"' || qt || '\"', '(question without text)') || chr(10) || body, '' ORDER BY question_key)"
+_B["option_prompts"] = f""", ln AS (SELECT o.poll_id, o.question_key, max(q.question_text) AS qt, string_agg('* ' || o.option_value || CASE WHEN o.option_label IS NOT NULL THEN ' = ' || o.option_label ELSE '' END || CASE WHEN o.is_catch_all THEN ' (any other)' ELSE '' END || chr(10), '' ORDER BY o.sort_order, o.option_value) AS body
+  FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'catalog' AND q.question_type IN ('single','multi') GROUP BY o.poll_id, o.question_key)
+SELECT poll_id, 'Assign taxonomy entries to each option below.' || chr(10) || chr(10) || 'Poll ' || poll_id || chr(10) || {_BODY} AS user_message FROM ln GROUP BY poll_id"""
+_B["text_prompts"] = f""", r AS ({_TEXT} AND o.option_id NOT IN (SELECT option_id FROM tax)),
+ n AS (SELECT poll_id, CAST(ceil(count(*) / 20) AS INTEGER) AS batches FROM r GROUP BY poll_id),
+ ln AS (SELECT poll_id, {_HASH.format("option_value")} % batches AS batch, question_key, max(question_text) AS qt, string_agg('* ' || option_value || chr(10), '' ORDER BY option_value) AS body FROM r JOIN n USING (poll_id) GROUP BY ALL)
+SELECT poll_id, batch, 'Assign taxonomy entries to each typed answer below, as if respondents had picked it from a list.' || chr(10) || chr(10) || 'Poll ' || poll_id || chr(10) || {_BODY} AS user_message FROM ln GROUP BY poll_id, batch"""
 
 # Replies: what each part's reply says, without its wrapping.
 _REPLY = """, rp AS (SELECT p_partkey AS k, 'poll_' || (p_partkey % 5 + 1) AS poll_id, 'channel' AS question_key, ['Web','Store','Phone'][p_partkey % 3 + 1] AS option_value, p_brand, p_type, p_size FROM part WHERE p_partkey % 10 <> 9),

@@ -37,10 +37,11 @@ def test_order_is_smallest_position_of_any_kind(spark, submit, options):
 
 def test_documents(spark, submit, options):
     rows = submit({"answers": [("a", "x")]}, {"answers": [("a", "y")]}, {"answers": [("a", "y")]})
-    doc = tally.tally_documents(tally.response_tally(rows, questions_of(spark), options((1, "a", "x")))).first()
+    counted = tally.response_tally(rows, questions_of(spark), options((1, "a", "x")))
+    doc = tally.tally_documents(counted, parts=1).first()
     assert [e["answer"] for e in json.loads(doc["answers"])] == ["y", "x"]
-    parts = tally.tally_documents(tally.response_tally(rows, questions_of(spark), options((1, "a", "x"))), size=1).collect()
-    assert {r["parts"] for r in parts} == {2}
+    parts = tally.tally_documents(counted, parts=50).collect()
+    assert {r["part"] for r in parts} <= set(range(50)) and len(parts) == 2
     assert sorted(e["answer"] for r in parts for e in json.loads(r["answers"])) == ["x", "y"]
 
 
