@@ -70,6 +70,6 @@ def eligible(token: Column) -> Column:
 
 
 def require_poll_id(poll_id: str) -> str:
-    if not re.match(POLL_ID_SHAPE, poll_id):
+    if not re.fullmatch(POLL_ID_SHAPE, poll_id):
         raise ValueError(f"refusing unsafe poll id: {poll_id!r}")
     return poll_id

@@ -93,12 +93,16 @@ def hidden_answers(responses: DataFrame, logic: DataFrame) -> DataFrame:
 
 
 def incomplete_required(responses: DataFrame, logic: DataFrame) -> DataFrame:
-    """Required questions on show that were not answered, or with too few choices and no catch-all among them."""
+    """Required questions on show that were not answered, with too few choices and no catch-all among them, or whose
+    write-in choice came without text: a single answer then keeps the choice's own value, a list has nothing typed."""
     picked = F.col("answer.elements")
     caught = F.filter("options", lambda o: o["is_catch_all"])
     catch_all = F.coalesce(F.arrays_overlap(picked, caught["value"]), F.lit(False)) | F.coalesce(
         F.col("answer.write_in") & F.array_contains(caught["write_in"], True), F.lit(False)
     )
+    bare = F.arrays_overlap(picked, F.filter("options", lambda o: o["write_in"])["value"])
+    nothing_typed = F.size(F.array_except(picked, F.col("options.value"))) == 0
+    flagged = F.coalesce(F.col("answer.write_in"), F.lit(False))
     least = F.greatest(F.coalesce("min_select", F.lit(1)), F.lit(1))
     multi = F.col("question_type") == "multi"
     absent = F.col("answer").isNull()
@@ -107,6 +111,7 @@ def incomplete_required(responses: DataFrame, logic: DataFrame) -> DataFrame:
         F.when(multi & no_choice, "missing")
         .when(multi & ~catch_all & (F.size(picked) < least), "too few")
         .when(~multi & (absent | (F.col("answer.json") == '""')), "missing")
+        .when(F.coalesce(bare | (multi & flagged & nothing_typed), F.lit(False)), "blank write-in")
     )
     shown = _asked(responses, logic.where("is_required")).where(_page_open() & _rule_open())
     return shown.select(*ROW, reason.alias("reason")).where(F.col("reason").isNotNull())

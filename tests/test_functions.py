@@ -63,6 +63,8 @@ def test_poll_id_shape():
     assert text.require_poll_id("poll_x-1") == "poll_x-1"
     with pytest.raises(ValueError):
         text.require_poll_id("x'; DROP TABLE y")
+    with pytest.raises(ValueError):
+        text.require_poll_id("poll_x\n")
 
 
 @pytest.mark.parametrize("raw, want", [(f"  {HASH_A.upper()}\t", HASH_A), ("", None), ("   ", None), (None, None), ("not-a-hash", "not-a-hash")])

@@ -6,46 +6,63 @@ from conftest import tuples
 from canvass.operators import rules
 from canvass.sources import definitions
 
-SURVEY = {
-    "pages": [
-        {"page_id": "team", "groups": [{"questions": ["pick"]}]},
-        {"page_id": "more", "show_if_answer": {"question": "pick", "op": "not_in", "values": ["No answer"]}, "groups": [{"questions": ["watch", "sure"]}]},
-        {"page_id": "fans", "show_if_user": {"property": "x", "op": "array_contains_prefix", "values": ["S"]}, "groups": [{"questions": ["player", "liked"]}]},
-    ],
-    "questions": {
-        "pick": {"type": "single", "required": True, "options": [{"value": "Red"}, {"value": "Blue"}, {"value": "No answer", "is_catch_all": True}]},
-        "watch": {
-            "type": "multi", "required": True, "min_select": 2,
-            "options": [{"value": "Home"}, {"value": "Bar"}, {"value": "Other", "write_in": True}, {"value": "Nothing", "is_catch_all": True, "exclusive": True}],
-        },
-        "sure": {"type": "single", "show_if_answer": {"question": "pick", "op": "equals", "values": "Blue"}, "options": [{"value": "Yes"}]},
-        "player": {"type": "text", "show_if_answer": {"question": "pick", "op": "array_contains_prefix", "values": ["B"]}},
-        "liked": {"type": "multi", "options_from": "watch", "show_if_answer": {"question": "watch", "op": "is_set"}, "options": [{"value": "Home"}, {"value": "Bar"}, {"value": "None", "is_catch_all": True}]},
-        "lost": {"type": "single", "options": [{"value": "Yes"}]},
-    },
-}
-
-
-@pytest.fixture(scope="module")
+
+
+def choice(*values, **flags):
+    """Options by value; a flag names the values it is set for."""
+    return [{"value": v, **{k: True for k, on in flags.items() if v in on}} for v in values]
+
+
+def one_page(*keys):
+    return {"groups": [{"questions": list(keys)}]}
+
+
+@pytest.fixture
 def logic(spark):
-    item = spark.createDataFrame([("p", json.dumps(SURVEY))], "id string, definition string")
-    return definitions.survey_logic(item).cache()
+    """Logic of definitions given as poll=(pages, questions)."""
 
+    def build(**polls):
+        rows = [(k, json.dumps({"pages": pages, "questions": questions})) for k, (pages, questions) in polls.items()]
+        return definitions.survey_logic(spark.createDataFrame(rows, "id string, definition string"))
 
-def test_hidden(submit, logic):
+    return build
+
+
+def test_answers_on_hidden_pages(submit, logic):
+    """The second page needs a ticket; a question that is on no page is never on show."""
+    ticket = {"question": "ticket", "op": "in", "values": ["day", "week"]}
+    pages = [one_page("ticket"), {**one_page("seat", "meal"), "show_if_answer": ticket}]
+    questions = {k: {"type": "single"} for k in ("ticket", "seat", "meal", "spare")}
     rows = submit(
-        {"answers": [("pick", "Blue"), ("watch", ["Home", "Bar"]), ("sure", "Yes"), ("player", "x"), ("liked", ["Home"])]},
-        {"answers": [("pick", "No answer"), ("watch", ["Home"]), ("liked", ["Home"])]},
-        {"answers": [("pick", "Red"), ("sure", "Yes"), ("lost", "Yes"), ("gone", "x"), ("liked", None)]},
-        {"answers": [("liked", ["None"])]},
-        {"poll_id": "undefined", "answers": [("pick", "x")]},
+        {"poll_id": "train", "answers": [("ticket", "week"), ("seat", "7b")]},
+        {"poll_id": "train", "answers": [("ticket", "none"), ("seat", "7b"), ("meal", None)]},
+        {"poll_id": "train", "answers": [("meal", "soup"), ("spare", "1"), ("luggage", "2")]},
+        {"poll_id": "bus", "answers": [("seat", "1a")]},
     )
-    assert tuples(rules.hidden_answers(rows, logic)) == [
-        (2, "p", "watch", "page hidden"),
-        (3, "p", "gone", "unknown question"),
-        (3, "p", "lost", "page hidden"),
-        (3, "p", "sure", "question hidden"),
-        (4, "p", "liked", "question hidden"),
+    assert tuples(rules.hidden_answers(rows, logic(train=(pages, questions)))) == [
+        (2, "train", "seat", "page hidden"),
+        (3, "train", "luggage", "unknown question"),
+        (3, "train", "meal", "page hidden"),
+        (3, "train", "spare", "page hidden"),
+    ]
+
+
+def test_answers_to_hidden_questions(submit, logic):
+    """Rules of single questions, one after the other; a rule on the respondent's attributes always holds here."""
+    questions = {
+        "pet": {"type": "multi"},
+        "breed": {"type": "text", "show_if_answer": {"question": "pet", "op": "array_contains", "values": ["dog"]}},
+        "walks": {"type": "rating", "show_if_answer": {"question": "breed", "op": "is_set"}},
+    }
+    page = {**one_page("pet", "breed", "walks"), "show_if_user": {"property": "plan", "op": "equals", "values": "x"}}
+    rows = submit(
+        {"poll_id": "pets", "answers": [("pet", ["cat", "dog"]), ("breed", "boxer"), ("walks", 3)]},
+        {"poll_id": "pets", "answers": [("pet", ["cat"]), ("breed", "boxer"), ("walks", 3)]},
+        {"poll_id": "pets", "answers": [("pet", ["dog"]), ("breed", ""), ("walks", 1)]},
+    )
+    assert tuples(rules.hidden_answers(rows, logic(pets=([page], questions)))) == [
+        (2, "pets", "breed", "question hidden"),
+        (3, "pets", "walks", "question hidden"),
     ]
 
 
@@ -85,34 +102,82 @@ def test_operators(spark, submit):
     assert hidden == {f"p{i}" for i, (_, _, want) in enumerate(OPERATORS) if not want}
 
 
-def test_required(submit, logic):
+def test_required_single_and_text(submit, logic):
+    questions = {"size": {"type": "single", "required": True}, "name": {"type": "text", "required": True}, "tip": {"type": "single"}}
     rows = submit(
-        {"answers": [("pick", "Blue"), ("watch", ["Home", "Bar"])]},
-        {"answers": [("pick", "No answer")]},
-        {"answers": [("pick", ""), ("watch", ["Home"])]},
-        {"answers": [("pick", "Blue"), ("watch", ["Nothing"])]},
-        {"answers": [("pick", "Blue"), ("watch", "Home")]},
-        {"answers": [("watch", [])]},
+        {"poll_id": "shop", "answers": [("size", 0), ("name", "Ada")]},
+        {"poll_id": "shop", "answers": [("size", ""), ("name", "Ada"), ("tip", "")]},
+        {"poll_id": "shop", "answers": []},
     )
-    assert tuples(rules.incomplete_required(rows, logic)) == [
-        (3, "p", "pick", "missing"),
-        (3, "p", "watch", "too few"),
-        (5, "p", "watch", "missing"),
-        (6, "p", "pick", "missing"),
-        (6, "p", "watch", "missing"),
+    assert tuples(rules.incomplete_required(rows, logic(shop=([one_page(*questions)], questions)))) == [
+        (2, "shop", "size", "missing"),
+        (3, "shop", "name", "missing"),
+        (3, "shop", "size", "missing"),
+    ]
+
+
+def test_required_lists(submit, logic):
+    """Three of the days, or the catch-all alone."""
+    days = {"type": "multi", "required": True, "min_select": 3, "options": choice("mon", "tue", "wed", "thu", "never", is_catch_all=["never"])}
+    rows = submit(*[{"poll_id": "gym", "answers": [("days", v)]} for v in (["mon", "tue", "thu"], ["mon", "tue"], ["never"], [], "mon")])
+    assert tuples(rules.incomplete_required(rows, logic(gym=([one_page("days")], {"days": days})))) == [
+        (2, "gym", "days", "too few"),
+        (4, "gym", "days", "missing"),
+        (5, "gym", "days", "missing"),
     ]
 
 
-def test_carried_lists_and_exclusives(submit, logic):
+def test_required_on_show_only(submit, logic):
+    questions = {
+        "car": {"type": "single"},
+        "plate": {"type": "text", "required": True, "show_if_answer": {"question": "car", "op": "not_in", "values": ["no"]}},
+    }
+    rows = submit({"poll_id": "lot", "answers": [("car", "no")]}, {"poll_id": "lot", "answers": [("car", "yes")]})
+    assert tuples(rules.incomplete_required(rows, logic(lot=([one_page(*questions)], questions)))) == [(2, "lot", "plate", "missing")]
+
+
+def test_write_in_choice_without_text(submit, logic):
+    """A single answer keeps the choice's own value then; a list only says that the choice was taken."""
+    options = choice("tea", "juice", "else", write_in=["else"])
+    questions = {"one": {"type": "single", "required": True, "options": options}, "many": {"type": "multi", "required": True, "options": options}}
+    given = [("mate", ["tea", "mate"]), ("else", ["tea"]), ("tea", ["juice", "else"])]
+    rows = submit(*[
+        {"poll_id": "bar", "answers": [{"question": "one", "answer": a, "write_in": a != "tea"}, {"question": "many", "answer": b, "write_in": True}]}
+        for a, b in given
+    ])
+    assert tuples(rules.incomplete_required(rows, logic(bar=([one_page(*questions)], questions)))) == [
+        (2, "bar", "many", "blank write-in"),
+        (2, "bar", "one", "blank write-in"),
+        (3, "bar", "many", "blank write-in"),
+    ]
+
+
+def test_carried_lists(submit, logic):
+    """The favourite is asked among the tools that were named; what a write-in adds is free."""
+    questions = {
+        "tools": {"type": "multi", "options": choice("saw", "axe", "file")},
+        "best": {"type": "multi", "options_from": "tools", "options": choice("saw", "axe", "file", "all", is_catch_all=["all"])},
+    }
     rows = submit(
-        {"answers": [("watch", ["Home"]), ("liked", ["Home", "Bar", "None"])]},
-        {"answers": [("liked", ["Home"])]},
-        {"answers": [("watch", ["Nothing", "Home"])]},
-        {"answers": [("watch", ["Nothing"])]},
-        {"answers": [("watch", ["Home"]), {"question": "liked", "answer": ["typed", "Bar"], "write_in": True}]},
+        {"poll_id": "shed", "answers": [("tools", ["saw", "axe"]), ("best", ["axe", "all"])]},
+        {"poll_id": "shed", "answers": [("tools", ["saw"]), ("best", ["file", "saw", "axe"])]},
+        {"poll_id": "shed", "answers": [("best", ["all"])]},
+        {"poll_id": "shed", "answers": [("tools", ["axe"]), {"question": "best", "answer": ["lathe", "saw"], "write_in": True}]},
     )
-    assert tuples(rules.not_offered_options(rows, logic)) == [(1, "p", "liked", "Bar"), (2, "p", "liked", "Home"), (5, "p", "liked", "Bar")]
-    assert tuples(rules.exclusive_conflicts(rows, logic)) == [(3, "p", "watch", "Nothing", 2)]
+    assert tuples(rules.not_offered_options(rows, logic(shed=([one_page(*questions)], questions)))) == [
+        (2, "shed", "best", "axe"),
+        (2, "shed", "best", "file"),
+        (4, "shed", "best", "saw"),
+    ]
+
+
+def test_exclusive_choices(submit, logic):
+    allergy = {"type": "multi", "options": choice("nuts", "milk", "none", "unsure", exclusive=["none", "unsure"])}
+    rows = submit(*[{"poll_id": "diet", "answers": [("allergy", v)]} for v in (["none"], ["nuts", "none", "unsure"], ["nuts", "milk"], ["milk", "unsure"])])
+    assert tuples(rules.exclusive_conflicts(rows, logic(diet=([one_page("allergy")], {"allergy": allergy})))) == [
+        (2, "diet", "allergy", "none, unsure", 3),
+        (4, "diet", "allergy", "unsure", 2),
+    ]
 
 
 def test_write_ins(submit, options):
