@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.functions.text import require_poll_id
 from canvass.operators import classify, export, identity, parity, report, tally, upsert
-from canvass.session import adaptive
+from canvass.session import adaptive, written
 from canvass.sources import definitions, schemas
 from canvass.sources.responses import stage
-from canvass.sources.tables import append_rows, path_exists, read_table, replace_partitions, table_exists, write_table
+from canvass.sources.tables import (
+    append_rows,
+    path_exists,
+    read_table,
+    replace_partitions,
+    table_exists,
+    write_loads,
+    write_table,
+)
 
 
 def _now() -> Column:
@@ -36,6 +45,9 @@ class Store:
     def partitioned(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def demographics(self) -> DataFrame:
+        return self.partitioned("demographics").drop("load")
+
     def responses(self) -> DataFrame | None:
         return self.partitioned("responses").drop("load") if path_exists(self.spark, self.path("responses")) else None
 
@@ -44,8 +56,8 @@ QUESTION_TABLE = f"{schemas.QUESTIONS}, updated_at timestamp_ntz"
 
 
 def load_responses(store: Store, raw: DataFrame) -> None:
-    """Stage (ingestion_id, raw) documents; a later load adds only ids that are not there yet."""
-    staged = stage(raw)
+    """Stage (ingestion_id, raw) documents; of those that share an id one is kept, and only ids not there yet are added."""
+    staged = stage(raw.groupBy("ingestion_id").agg(F.min("raw").alias("raw")))
     stored = store.responses()
     append_rows(staged if stored is None else parity.catch_up(staged, stored, "ingestion_id"), store.path("responses"))
 
@@ -61,12 +73,17 @@ def sync_catalog(store: Store, items: DataFrame) -> DataFrame:
     )
 
 
-def prepare_text(store: Store) -> DataFrame:
-    """Add the typed answers as options; returns the classifier's input (no row if nothing is left to classify)."""
+def prepare_text(store: Store, lines: int) -> DataFrame:
+    """Add the typed answers as options; returns the classifier's inputs of about `lines` answers each, if any.
+
+    The classifications in use are stored once, beside them.
+    """
     questions, options = store.read("questions"), store.read("options")
     candidates = classify.text_option_candidates(store.responses(), questions)
     store.write("options", upsert.add_text_options(options, candidates, _now()))
-    return classify.text_prompts(store.read("options"), questions, store.read("taxonomy", schemas.TAXONOMY_TABLE))
+    taxonomy = store.read("taxonomy", schemas.TAXONOMY_TABLE)
+    store.write("taxonomy_reference", classify.taxonomy_reference(taxonomy))
+    return classify.text_prompts(store.read("options"), questions, taxonomy, lines)
 
 
 def store_replies(store: Store, replies: DataFrame, source: str) -> DataFrame:
@@ -80,23 +97,24 @@ def store_replies(store: Store, replies: DataFrame, source: str) -> DataFrame:
 
 def refresh_identity(store: Store, events: DataFrame, poll_id: str | None = None, pad_days: int = 1) -> None:
     """Replace the identity rows of one poll (or of every poll with submissions)."""
+    if poll_id is not None:
+        require_poll_id(poll_id)
     rows = identity.respondent_identity(store.responses(), events, poll_id, pad_days)
     replace_partitions(rows.withColumn("resolved_at", _now()), store.path("identity"), "poll_id")
 
 
 def rebuild_demographics(store: Store, email: DataFrame, person: DataFrame, place: DataFrame) -> None:
-    store.write(
-        "demographics", identity.respondent_demographics(store.partitioned("identity"), email, person, place)
+    write_loads(
+        identity.respondent_demographics(store.partitioned("identity"), email, person, place), store.path("demographics")
     )
 
 
 def extend_demographics(store: Store, email: DataFrame, person: DataFrame, place: DataFrame) -> bool:
-    """Add respondents that are not stored yet. Without any, the person tables are not scanned; returns if they were."""
-    stored = store.read("demographics")
-    unseen = identity.unseen_respondents(store.partitioned("identity"), stored)
+    """Append respondents that are not stored yet. Without any, the person tables are not scanned; returns if they were."""
+    unseen = written(identity.unseen_respondents(store.partitioned("identity"), store.demographics()), "unseen")
     if unseen.isEmpty():
         return False
-    store.write("demographics", stored.unionByName(identity.respondent_demographics(unseen, email, person, place)))
+    append_rows(identity.respondent_demographics(unseen, email, person, place), store.path("demographics"))
     return True
 
 
@@ -106,7 +124,7 @@ def write_reports(store: Store, now: str, mapping: DataFrame | None = None) -> N
     store.write(
         "export",
         export.response_demographics(
-            responses, questions, options, store.partitioned("identity"), store.read("demographics")
+            responses, questions, options, store.partitioned("identity"), store.demographics()
         ),
     )
     store.write("tally", tally.report_tally(responses, questions, options))

@@ -46,13 +46,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """A result that several steps read, written once and read back: a lost executor costs a read, not the lineage.
-
-    Without a shared folder the plan is returned as it is and computed by each reader.
-    """
+    """A result that several steps read, written once and read back: a lost executor costs a read, not the lineage."""
     spark = df.sparkSession
-    if shared_root(spark) is None:
-        return df
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _snapshots(spark: SparkSession, path: str, complete: bool) -> list[int]:
@@ -46,10 +47,17 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.parquet(f"{path}/load={number}")
 
 
+def write_loads(df: DataFrame, path: str) -> None:
+    """Replace all loads by one. The plan must not read them."""
+    df.withColumn("load", F.lit(1)).write.mode("overwrite").partitionBy("load").parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     """Overwrite only the partitions present in `df`."""
+    # a key's rows come from few tasks, so a partition is few files; large keys are split again by their size
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(k) for k in keys])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)

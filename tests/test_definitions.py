@@ -5,30 +5,25 @@ from conftest import tuples
 
 from canvass.sources import definitions
 
-CHANNELS = [{"value": "Alpha TV"}, {"value": "Neither", "is_catch_all": True, "exclusive": True}]
-MATRIX = {
-    "poll_id": "p",
-    "option_sets": {"channels": CHANNELS},
-    "pages": [
-        {"page_id": "a", "groups": [{"questions": ["known"]}]},
-        {"page_id": "b", "groups": [{"questions": ["view", "note"]}]},
-    ],
+SCALE = [{"value": str(n), "label": name} for n, name in enumerate(["Never", "Rarely", "Often"])]
+GARDEN = {
+    "version": 4,
+    "option_sets": {"scale": SCALE, "beds": [{"value": "Herbs"}, {"value": "No beds", "exclusive": True, "is_catch_all": True}, {"value": "Roses"}]},
     "questions": {
-        "known": {"type": "multi", "question": "Known?", "required": True, "options": "channels"},
-        "view": {
-            "type": "matrix",
-            "question": "View?",
-            "help_text": "not carried",
-            "required": True,
-            "show_results": False,
-            "rows": ["Alpha TV", "Beta TV Plus"],
-            "rows_from": "known",
-            "options_from": "known",
-            "options": [{"value": "Good"}, {"value": "Bad"}],
+        "soil": {"type": "single", "question": "Soil?", "options": [{"value": "Clay"}]},
+        "tasks": {
+            "type": "matrix", "question": "How often?", "help_text": "one per row", "options": "scale",
+            "rows": ["Dig & weed", "Water", "Prune (trees)"], "rows_from": "beds_kept", "auto_advance": True,
         },
-        "note": {"type": "text", "question": "More?", "max_length": 250, "options": [{"value": "never"}]},
+        "beds_kept": {"type": "multi", "question": "Beds?", "min_select": 1, "options": "beds", "required": True},
+        "diary": {"type": "text", "placeholder": "today …", "max_length": 90, "show_results": False},
     },
-}
+    "pages": [
+        {"groups": [{"questions": ["soil"]}, {"questions": ["beds_kept", "tasks"]}]},
+        {"groups": []},
+        {"groups": [{"questions": ["diary"]}]},
+    ],
+}
 
 
 @pytest.fixture(scope="module")
@@ -41,24 +36,45 @@ def items(spark):
     return build
 
 
-def test_matrix_and_option_sets(items):
-    source = items(("p", json.dumps(MATRIX)))
+TASKS = ["tasks__dig_weed", "tasks__water", "tasks__prune_trees"]
+
+
+def test_questions(items):
+    rows = {r["question_key"]: r for r in definitions.questions(items(("g", json.dumps(GARDEN)))).collect()}
+    assert sorted(rows) == sorted(["soil", "beds_kept", "diary", *TASKS])
+    diary = rows["diary"]
+    assert (diary["question_type"], diary["question_text"], diary["max_length"], diary["placeholder"]) == ("text", None, 90, "today …")
+    assert not diary["show_results"] and not diary["is_required"] and rows["soil"]["show_results"]
+    assert rows["beds_kept"]["min_select"] == 1 and rows["beds_kept"]["is_required"]
+
+
+def test_matrix_rows_become_questions(items):
+    source = items(("g", json.dumps(GARDEN)))
     rows = {r["question_key"]: r for r in definitions.questions(source).collect()}
-    assert set(rows) == {"known", "view__alpha_tv", "view__beta_tv_plus", "note"}
-    row = rows["view__beta_tv_plus"]
-    assert row["question_type"] == "single" and row["question_text"] == "View? — Beta TV Plus"
-    assert row["is_required"] and not row["show_results"] and row["auto_advance"] is False and row["help_text"] is None
-    assert rows["note"]["max_length"] == 250 and rows["note"]["show_results"] is True
-    opts = tuples(definitions.options(source).select("question_key", "option_value", "is_catch_all", "sort_order"))
-    assert [o for o in opts if o[0] == "known"] == [("known", "Alpha TV", False, 0), ("known", "Neither", True, 1)]
-    assert not [o for o in opts if o[0] == "note"]
-    assert len([o for o in opts if o[0].startswith("view__")]) == 4
-    pages = tuples(definitions.page_questions(source).select("page_no", "pos", "question_key"))
-    assert pages == [(0, 0, "known"), (1, 0, "view__alpha_tv"), (1, 1, "view__beta_tv_plus"), (1, 2, "note")]
+    assert [rows[k]["question_text"] for k in TASKS] == ["How often? — Dig & weed", "How often? — Water", "How often? — Prune (trees)"]
+    assert {rows[k]["question_type"] for k in TASKS} == {"single"}
+    assert {rows[k]["help_text"] for k in TASKS} == {None} and not any(rows[k]["auto_advance"] for k in TASKS)
+    logic = {r["question_key"]: r["show_if"] for r in definitions.survey_logic(source).collect()}
+    assert [(logic[k]["question"], logic[k]["op"], logic[k]["list"]) for k in TASKS] == [
+        ("beds_kept", "array_contains", [json.dumps(row)]) for row in GARDEN["questions"]["tasks"]["rows"]
+    ]
+
+
+def test_option_sets(items):
+    source = items(("g", json.dumps(GARDEN)))
+    got = tuples(definitions.options(source).select("question_key", "sort_order", "option_value", "option_label", "is_catch_all"))
+    beds = [("beds_kept", 0, "Herbs", None, False), ("beds_kept", 1, "No beds", None, True), ("beds_kept", 2, "Roses", None, False)]
+    scale = [(k, n, str(n), name, False) for k in TASKS for n, name in enumerate(["Never", "Rarely", "Often"])]
+    assert got == sorted([*beds, *scale, ("soil", 0, "Clay", None, False)], key=repr)
     logic = {r["question_key"]: r for r in definitions.survey_logic(source).collect()}
-    shown = logic["view__beta_tv_plus"]["show_if"]
-    assert (shown["question"], shown["op"], shown["list"]) == ("known", "array_contains", ['"Beta TV Plus"'])
-    assert logic["known"]["options"][1]["exclusive"] is True
+    assert [o["exclusive"] for o in logic["beds_kept"]["options"]] == [False, True, False]
+
+
+def test_pages(items):
+    source = items(("g", json.dumps(GARDEN)))
+    pages = tuples(definitions.page_questions(source).select("page_no", "group_no", "pos", "question_key"))
+    beds = [(0, 1, i, k) for i, k in enumerate(["beds_kept", *TASKS])]
+    assert pages == [(0, 0, 0, "soil"), *beds, (2, 0, 0, "diary")]
 
 
 def test_multi_matrix_and_repeated_rows(items):
@@ -87,9 +103,9 @@ def test_defaults_labels_and_types(items):
 
 def test_encoded_twice_broken_and_without_id(items):
     source = items(
-        ("twice", json.dumps(json.dumps(MATRIX))),
-        ("cut", json.dumps(MATRIX)[:50]),
-        (None, json.dumps(MATRIX)),
+        ("twice", json.dumps(json.dumps(GARDEN))),
+        ("cut", json.dumps(GARDEN)[:50]),
+        (None, json.dumps(GARDEN)),
         ("list", "[1]"),
     )
     assert {r["poll_id"] for r in definitions.questions(source).collect()} == {"twice"}
@@ -99,7 +115,7 @@ def test_encoded_twice_broken_and_without_id(items):
 def test_retired_layout(items):
     q1 = json.dumps({"id": "k", "prompt": "P?", "options": [{"value": "A", "label": "Ay", "is_catch_all": True}]})
     none = json.dumps({"id": "x", "prompt": "P?", "options": []})
-    source = items(("old", None, q1, "{oops", none), ("new", json.dumps(MATRIX), q1))
+    source = items(("old", None, q1, "{oops", none), ("new", json.dumps(GARDEN), q1))
     rows = [r for r in definitions.questions(source).collect() if r["poll_id"] == "old"]
     assert [(r["question_key"], r["question_type"], r["question_text"], r["is_required"], r["show_results"]) for r in rows] == [("k", "single", "P?", None, True)]
     opts = [r for r in definitions.options(source).collect() if r["poll_id"] == "old"]
@@ -108,8 +124,8 @@ def test_retired_layout(items):
 
 
 def test_files(spark, tmp_path):
-    (tmp_path / "items.json").write_text(json.dumps({"id": "p", "definition": json.dumps(MATRIX)}) + "\n")
-    assert definitions.questions(definitions.read_items(spark, str(tmp_path / "items.json"))).count() == 4
+    (tmp_path / "items.json").write_text(json.dumps({"id": "p", "definition": json.dumps(GARDEN)}) + "\n")
+    assert definitions.questions(definitions.read_items(spark, str(tmp_path / "items.json"))).count() == 6
     flat = [{"POLL_ID": "p", "QUESTION_KEY": "q", "QUESTION_TEXT": "", "OPTION_VALUE": "A", "OPTION_LABEL": "Ay"}]
     (tmp_path / "flat.json").write_text(json.dumps(flat))
     assert tuples(definitions.read_flat_catalog(spark, str(tmp_path / "flat.json"))) == [("p", "q", "", "A", "Ay")]

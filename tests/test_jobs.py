@@ -42,14 +42,14 @@ def test_pipeline(spark, store):
     jobs.load_responses(store, first.union(raw_of(spark, (2, "d2", "", [("pick", "Other")]))))
     assert store.responses().count() == 2
 
-    prompt = jobs.prepare_text(store)
-    assert "      - because\n" in prompt.first()["user_message"]
+    prompt = jobs.prepare_text(store, lines=10)
+    assert "* because\n" in prompt.first()["user_message"]
     reply = [{"poll_id": "p", "question_key": q, "option_value": v, "taxonomies": [{"bucket": "preference", "taxonomy_path": f"T|{v}", "confidence": 0.9}]} for q, v in (("pick", "A"), ("why", "because"))]
     replies = spark.createDataFrame([(json.dumps(reply),), ("sorry",)], "reply string")
     assert tuples(jobs.store_replies(store, replies, "catalog")) == [("sorry",)]
     jobs.store_replies(store, replies, "response")
     assert [r["taxonomy_path"] for r in store.read("taxonomy").orderBy("taxonomy_path").collect()] == ["T|A", "T|because"]
-    assert jobs.prepare_text(store).count() == 0 and jobs.sync_catalog(store, items).count() == 0
+    assert jobs.prepare_text(store, lines=10).count() == 0 and jobs.sync_catalog(store, items).count() == 0
 
     at = datetime(2024, 1, 10, 2)
     events = spark.createDataFrame([("d2", "b" * 64, at, "x", "{}")], "device_id string, user_id string, event_time timestamp_ntz, event_type string, event_properties string")
@@ -62,10 +62,10 @@ def test_pipeline(spark, store):
     person = spark.createDataFrame([(1, 40, *["x"] * 9, 1, 4, 1)], f"id bigint, age bigint, {text}, children_hh bigint, home_owner_ordinal bigint, owns_investments bigint")
     place = spark.createDataFrame([(1, "F", "TX", 77)], "id bigint, gender string, state string, dma int")
     jobs.rebuild_demographics(store, email.where("id = 1"), person, place)
-    assert store.read("demographics").count() == 1
+    assert store.demographics().count() == 1
     assert jobs.extend_demographics(store, email, person, place) is True
     assert jobs.extend_demographics(store, email, person, place) is False
-    assert store.read("demographics").count() == 2
+    assert store.demographics().count() == 2
 
     mapping = spark.createDataFrame([("p", "sheet")], "poll_id string, spreadsheet_id string")
     jobs.write_reports(store, "now", mapping)

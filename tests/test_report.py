@@ -4,31 +4,25 @@ import pytest
 
 from canvass.operators import export, report
 
-NOW = "03/06/2025, 08:00:00"
-RIDE, FRUIT = "Do you cycle?", "Which fruit?"
+NOW = "11/30/2025, 23:59:59"
+ROUTE, BAGS, WHY = "Which route?", "How many bags?", "Anything to add?"
 META = [n for n, _ in report.META_COLUMNS]
 DEMO = [n for n, _ in report.DEMOGRAPHIC_COLUMNS]
-FULL = dict(
-    age_band="65+", generation="Elder", income_hh="High", net_worth_hh="Upper",
-    education="Degree", occupation_category="Office", marital_status="Married", home_owner="Owner",
-    ethnic_group="Group 7", has_children_hh=False, gender="F", state="TX", dma=77,
-    affinity_investor=True, affinity_homeowner=True,
-)
+TYPES = {c: "boolean" if c.startswith(("has_", "affinity")) else "int" if c == "dma" else "string" for c in export.DEMOGRAPHICS}
+#: A value per column, told apart by the column's name.
+FULL = {c: {"boolean": True, "int": 501}.get(kind, f"{c} x") for c, kind in TYPES.items()} | {"affinity_investor": False}
+COLUMNS = ", ".join(f"{c} {kind}" for c, kind in TYPES.items())
 SCHEMA = (
-    "poll_id string, ingestion_id bigint, submitted_at timestamp_ntz, market_name string, identity_source string, "
-    + ", ".join(f"{c} {'boolean' if c.startswith(('has_', 'affinity')) else 'int' if c == 'dma' else 'string'}" for c in export.DEMOGRAPHICS)
-    + ", answers map<string,string>"
+    f"poll_id string, ingestion_id bigint, submitted_at timestamp_ntz, market_name string, identity_source string, {COLUMNS}, "
+    "answers map<string,string>"
 )
 
 
 @pytest.fixture(scope="module")
 def tally_rows(spark):
-    rows = [
-        ("p1", 2, "k1", FRUIT, 0, "Plum", 1),
-        ("p1", 2, "k1", FRUIT, 0, "Pear", 2),
-        ("p1", 2, "k0", RIDE, 1, "Yes", 1),
-        ("p1", 2, "k0", RIDE, 1, "No", 1),
-    ]
+    """Eight submissions to one poll; the question on bags comes before the others, the last has no known order."""
+    counts = {(ROUTE, "r", 2): {"north": 5, "coast": 1, "hills": 1}, (BAGS, "b", 0): {"0": 3, "1": 4}, (WHY, "w", None): {"no": 2}}
+    rows = [("trip", 8, key, text, order, a, n) for (text, key, order), answers in counts.items() for a, n in answers.items()]
     return spark.createDataFrame(
         rows, "poll_id string, total_responses bigint, question_key string, question string, question_order int, answer string, response_count bigint"
     )
@@ -36,12 +30,17 @@ def tally_rows(spark):
 
 @pytest.fixture(scope="module")
 def export_rows(spark):
+    """Three submissions per poll: a known person, one of whom little is known, and one without answers."""
+
     def build(*polls):
         rows = []
-        for poll in polls or ("p1",):
-            full = [FULL[c] for c in export.DEMOGRAPHICS]
-            rows.append((poll, 1, datetime(2025, 3, 4, 5, 6, 7), "North", "payload", *full, {RIDE: "Yes", FRUIT: "Plum, Pear"}))
-            rows.append((poll, 2, datetime(2025, 3, 5, 9), None, None, *[None] * 15, {RIDE: "No"}))
+        for poll in polls or ("trip",):
+            some = {c: v for c, v in FULL.items() if c in ("state", "age_band", "has_children_hh")}
+            rows += [
+                (poll, 31, datetime(2025, 11, 3, 17, 0, 1, 250000), "East", "events", *FULL.values(), {ROUTE: "north", BAGS: "1", WHY: "no"}),
+                (poll, 7, datetime(2025, 11, 1), "West", "payload", *[some.get(c) for c in TYPES], {ROUTE: "coast, hills"}),
+                (poll, 112, None, None, None, *[None] * len(TYPES), {}),
+            ]
         return spark.createDataFrame(rows, SCHEMA)
 
     return build
@@ -53,54 +52,61 @@ def grid(reports, poll):
 
 
 def test_wide_grid(export_rows):
-    df = report.response_grid(export_rows(), [FRUIT, RIDE], "p1")
-    assert df.columns == [*META, FRUIT, RIDE, *DEMO]
-    first, second = df.orderBy("Response ID").collect()
-    assert first[RIDE] == "Yes" and first[FRUIT] == "Plum, Pear" and first["Age Band"] == "65+"
-    assert first["Has Children"] == "No" and first["Affinity: Investor"] == "Yes" and first["DMA"] == "77"
-    assert second[FRUIT] == "" and all(second[d] == "" for d in DEMO) and second["Market"] == ""
+    df = report.response_grid(export_rows(), [BAGS, ROUTE], "trip")
+    assert df.columns == [*META, BAGS, ROUTE, *DEMO]
+    rows = {r["Response ID"]: r for r in df.collect()}
+    assert [rows["31"][BAGS], rows["31"][ROUTE], rows["31"]["DMA"]] == ["1", "north", "501"]
+    assert [rows["31"]["Has Children"], rows["31"]["Affinity: Investor"], rows["31"]["Affinity: Homeowner"]] == ["Yes", "No", "Yes"]
+    assert [rows["7"][BAGS], rows["7"]["State"], rows["7"]["Gender"]] == ["", "state x", ""]
+    assert {rows["112"][c] for c in df.columns[1:]} == {""}
 
 
-def test_question_order(tally_rows, export_rows):
-    assert report.ordered_questions(tally_rows, export_rows(), "p1") == [FRUIT, RIDE]
-    # without a tally by name; questions missing from the tally follow
-    assert report.ordered_questions(tally_rows.limit(0), export_rows(), "p1") == [RIDE, FRUIT]
-    assert report.ordered_questions(tally_rows.where("question_order = 0"), export_rows(), "p1") == [FRUIT, RIDE]
-    unknown = tally_rows.selectExpr("poll_id", "question_key", "question", "IF(question_order = 0, NULL, 1) AS question_order")
-    assert report.ordered_questions(unknown, export_rows(), "p1") == [RIDE, FRUIT]
+def test_headings_from_what_was_answered(spark, tally_rows, export_rows):
+    order = lambda t: report.ordered_questions(t, export_rows(), "trip")
+    assert order(tally_rows) == [BAGS, ROUTE, WHY]
+    assert order(tally_rows.where(tally_rows.question == ROUTE)) == [ROUTE, WHY, BAGS]  # the rest by name
+    assert order(tally_rows.where("false")) == sorted([ROUTE, BAGS, WHY])
+    assert report.ordered_questions(tally_rows, export_rows(), "elsewhere") == []
 
 
 def test_stacked_report(tally_rows, export_rows):
-    rows = grid(report.survey_reports(tally_rows, export_rows(), NOW), "p1")
-    assert rows[:2] == [["p1"], ["Total Responses:", "2", f"Last Updated: {NOW} ET"]]
-    assert rows[2:7] == [[], [f'Q: "{FRUIT}"'], ["Answer", "Count", "%"], ["Pear", "2", "100.0%"], ["Plum", "1", "50.0%"]]
-    assert rows[7:12] == [[], [f'Q: "{RIDE}"'], ["Answer", "Count", "%"], ["No", "1", "50.0%"], ["Yes", "1", "50.0%"]]
-    assert rows[12:16] == [[], [], [report.DIVIDER], []]
-    assert rows[16] == [*META, FRUIT, RIDE, *DEMO]
-    assert [r[0] for r in rows[17:]] == ["1", "2"] and rows[17][1] == "2025-03-04 05:06:07.000"
-
-
-def test_one_report_per_poll_and_empty_polls(spark, tally_rows, export_rows):
-    both = report.survey_reports(tally_rows, export_rows("p1", "p2"), NOW)
-    assert {r["poll_id"] for r in both.select("poll_id").distinct().collect()} == {"p1", "p2"}
-    mapping = spark.createDataFrame([("p1",), ("empty",)], "poll_id string")
-    mapped = report.survey_reports(tally_rows, export_rows("p1", "p2"), NOW, mapping)
-    assert {r["poll_id"] for r in mapped.select("poll_id").distinct().collect()} == {"p1", "empty"}
-    assert grid(mapped, "empty") == [
-        ["empty"],
-        ["Total Responses:", "0", f"Last Updated: {NOW} ET"],
-        [], [], [report.DIVIDER], [],
-        [*META, *DEMO],
-    ]
-
-
-def test_writing_replaces_only_the_given_polls(spark, tally_rows, export_rows, tmp_path):
+    rows = grid(report.survey_reports(tally_rows, export_rows(), NOW), "trip")
+    blocks = [
+        [[], [f'Q: "{q}"'], ["Answer", "Count", "%"], *lines]
+        for q, lines in (
+            (BAGS, [["1", "4", "50.0%"], ["0", "3", "37.5%"]]),
+            (ROUTE, [["north", "5", "62.5%"], ["coast", "1", "12.5%"], ["hills", "1", "12.5%"]]),
+            (WHY, [["no", "2", "25.0%"]]),
+        )
+    ]
+    top = [["trip"], ["Total Responses:", "8", f"Last Updated: {NOW} ET"], *[x for block in blocks for x in block]]
+    assert rows[: len(top)] == top
+    assert rows[len(top) : len(top) + 5] == [[], [], [report.DIVIDER], [], [*META, BAGS, ROUTE, WHY, *DEMO]]
+    body = rows[len(top) + 5 :]
+    assert sorted(r[0] for r in body) == ["112", "31", "7"]
+    assert {r[0]: r[1] for r in body}["31"] == "2025-11-03 17:00:01.250"
+
+
+def test_polls(spark, tally_rows, export_rows):
+    """All polls with responses, or those of the mapping, responses or not."""
+    exported = export_rows("trip", "other", "third")
+    polls = lambda df: sorted(r["poll_id"] for r in df.select("poll_id").distinct().collect())
+    assert polls(report.survey_reports(tally_rows, exported, NOW)) == ["other", "third", "trip"]
+    mapped = report.survey_reports(tally_rows, exported, NOW, spark.createDataFrame([("third",), ("unused",)], "poll_id string"))
+    assert polls(mapped) == ["third", "unused"]
+    assert grid(mapped, "unused")[:2] == [["unused"], ["Total Responses:", "0", f"Last Updated: {NOW} ET"]]
+    assert grid(mapped, "unused")[-1] == [*META, *DEMO] and len(grid(mapped, "unused")) == 7
+
+
+def test_writing_replaces_only_the_given_polls(tally_rows, export_rows, tmp_path):
     path = str(tmp_path / "reports")
-    for polls in (("p1", "p2"), ("p1",)):
-        report.write_reports(report.survey_reports(tally_rows, export_rows(*polls), NOW), path)
-    stored = spark.read.parquet(path)
-    assert {r["poll_id"]: r["count"] for r in stored.groupBy("poll_id").count().collect()} == {"p1": 19, "p2": 9}
-    assert grid(stored, "p1") == grid(report.survey_reports(tally_rows, export_rows(), NOW), "p1")
+    write = lambda *polls: report.write_reports(report.survey_reports(tally_rows, export_rows(*polls), NOW), path)
+    write("trip", "other")
+    before = grid(tally_rows.sparkSession.read.parquet(path), "other")
+    write("trip")
+    stored = tally_rows.sparkSession.read.parquet(path)
+    assert grid(stored, "other") == before
+    assert grid(stored, "trip") == grid(report.survey_reports(tally_rows, export_rows(), NOW), "trip")
 
 
 def test_export(spark, submit, options):
@@ -118,13 +124,11 @@ def test_export(spark, submit, options):
     assert got[1]["answers"] == {"Same?": "x", "m": "Label A, N", "t": 'Typed "q"'}
     assert got[2]["answers"] == {"Same?": "x, y"} and got[3]["answers"] == {}
     assert [(got[i]["market_name"], got[i]["identity_source"], got[i]["age_band"]) for i in (1, 2, 3)] == [
-        ("nor", "payload", "65+"),
+        ("nor", "payload", "age_band x"),
         ("Gazette", None, None),
         (None, None, None),
     ]
 
 
 def export_demographics(spark):
-    columns = SCHEMA.split("identity_source string, ")[1].split(", answers")[0]
-    return spark.createDataFrame([("a" * 64, *[FULL[c] for c in export.DEMOGRAPHICS])], f"hem string, {columns}")
-
+    return spark.createDataFrame([("a" * 64, *FULL.values())], f"hem string, {COLUMNS}")
