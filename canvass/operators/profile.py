@@ -60,16 +60,22 @@ def unconditional_taxonomy(answered: DataFrame, taxonomy: DataFrame, options: Da
 def applied_rules(
     answered: DataFrame, taxonomy: DataFrame, options: DataFrame, strict_order: bool = False
 ) -> DataFrame:
-    """Rules that hold for a submission, each once, with and without prerequisites.
+    """Rules that hold for a submission, with and without prerequisites.
 
-    A rule with prerequisites holds if all are answered and their first positions strictly ascend; a single
+    Rules without any are a plain join: one row per answer and rule. Only answers that a conditional rule names, as its
+    target or as a prerequisite, are regrouped by submission; they are a bounded group (one document) and travel as one
+    list, so one shuffle on the unique submission id replaces a self join, a window and a second grouping.
+    A rule with prerequisites holds, once, if all are answered and their first positions strictly ascend; a single
     prerequisite is a presence test. With `strict_order` the answer itself must come after its last prerequisite.
-    The answers of one submission are a bounded group (one document), so they travel as one list: one shuffle on the
-    unique submission id replaces a self join, a window and a second grouping.
     """
-    rules = _offered(taxonomy, options).select(
-        "option_id", *RULE, F.when(~_unconditional(), F.col("condition_sequence")).alias("needs")
-    )
+    offered = _offered(taxonomy, options)
+    plain = offered.where(_unconditional()).select("option_id", *RULE)
+    always = answered.join(plain, "option_id").select("ingestion_id", "device_id", *RULE)
+    return always.union(_conditional(answered, offered.where(~_unconditional()), strict_order))
+
+
+def _conditional(answered: DataFrame, offered: DataFrame, strict_order: bool) -> DataFrame:
+    rules = offered.select("option_id", *RULE, F.col("condition_sequence").alias("needs"))
     used = rules.select("option_id").union(rules.select(F.explode("needs"))).distinct()
     picked = (
         answered.join(used, "option_id", "left_semi")
@@ -94,16 +100,13 @@ def applied_rules(
     ascending = (F.array_sort(F.array_distinct("positions")) == F.col("positions")) & F.forall(
         "positions", lambda p: p.isNotNull()
     )
-    return joined.where(F.col("needs").isNull() | ascending).select(
-        "ingestion_id", "device_id", *RULE, F.col("needs").alias("condition_sequence")
-    )
+    return joined.where(ascending).select("ingestion_id", "device_id", *RULE)
 
 
 def conditional_taxonomy(
     answered: DataFrame, taxonomy: DataFrame, options: DataFrame, strict_order: bool = False
 ) -> DataFrame:
-    conditional = taxonomy.where(~_unconditional())
-    return applied_rules(answered, conditional, options, strict_order).drop("condition_sequence")
+    return _conditional(answered, _offered(taxonomy, options).where(~_unconditional()), strict_order)
 
 
 def approved(taxonomy: DataFrame) -> DataFrame:
