@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,13 +60,24 @@ def publication(properties: Column) -> Column:
 
 
 def _within(events: DataFrame, respondents: DataFrame) -> DataFrame:
-    """Events between the earliest start and the latest end of all windows (one row on the driver), as constants that
-    the scan can skip files and partitions by."""
-    first, last = respondents.agg(F.min("win_start"), F.max("win_end")).first()
-    if first is None:
-        return events.limit(0)
-    start, end = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, last))
-    return events.where(F.col("event_time").between(start, end))
+    """Events on the days of any window, as constant ranges that the scan can skip files and partitions by.
+
+    The days reach the driver: a bounded list, whatever the number of polls. Neighbouring days are one range, so the
+    time between two polls far apart is not read.
+    """
+    windows = respondents.select("win_start", "win_end").distinct()
+    days = windows.select(F.explode(F.sequence("win_start", "win_end")).alias("day")).distinct()
+    ranges: list[list[date]] = []
+    for day in sorted(r["day"] for r in days.collect()):
+        if ranges and day - ranges[-1][1] == timedelta(days=1):
+            ranges[-1][1] = day
+        else:
+            ranges.append([day, day])
+    inside = F.lit(False)
+    for first, last in ranges:
+        start, end = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, last + timedelta(days=1)))
+        inside = inside | ((F.col("event_time") >= start) & (F.col("event_time") < end))
+    return events.where(inside)
 
 
 def _daily(events: DataFrame, respondents: DataFrame, *values: Column) -> DataFrame:

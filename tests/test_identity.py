@@ -190,3 +190,21 @@ def test_faults(spark):
     rows = [(1, HASHES[0], "payload"), (2, "short", "events"), (3, HASHES[0], None), (4, None, "events"), (5, None, None), (6, HASHES[0], "guess")]
     df = spark.createDataFrame(rows, "ingestion_id bigint, hem string, hem_source string")
     assert [r[0] for r in tuples(identity.identity_faults(df))] == [2, 3, 4, 6]
+
+
+def test_only_the_days_of_the_windows_are_read(spark, submit, events, tmp_path):
+    """Two polls two years apart: the scan skips what lies between, by filters that reach the files."""
+    rows = submit(sent("2022-03-01T05:00:00Z", poll_id="old"), sent("2024-03-01T05:00:00Z", poll_id="new", device_id="d2"))
+    seen = events(
+        ("d1", HASHES[0], "2022-03-01 01:00:00"), ("d1", HASHES[1], "2023-03-01 01:00:00"), ("d2", HASHES[2], "2024-03-01 01:00:00")
+    )
+    seen.write.parquet(str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    kept = identity._within(stored, identity._respondents(rows, 1))
+    assert sorted(r["event_time"].year for r in kept.collect()) == [2022, 2024]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert pushed.count("2022-0") >= 2 and pushed.count("2024-0") >= 2
+    assert tuples(identity.device_user(rows, stored)) == [("new", "d2", HASHES[2]), ("old", "d1", HASHES[0])]
