@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.text import require_poll_id
+from canvass.functions.text import path_depth, path_levels, require_poll_id
 from canvass.operators import (
     catalog,
     checks,
@@ -389,6 +389,42 @@ def upserted_taxonomy(s: Survey) -> DataFrame:
     )
 
 
+def _typed_rows(s: Survey) -> DataFrame:
+    """Classified typed answers, in capitals as a model may return them."""
+    typed = s.options.where("option_source = 'response'")
+    path, none = F.concat(F.lit("Brands|"), F.col("option_value")), F.lit(None).cast("string")
+    return typed.select(
+        "poll_id",
+        "question_key",
+        F.upper("option_value").alias("option_value"),
+        F.lit("preference").alias("bucket"),
+        path.alias("taxonomy_path"),
+        path_depth(path).alias("taxonomy_depth"),
+        path_levels(path).alias("taxonomy_levels"),
+        *[none.alias(f"demographic_{x}") for x in ("key", "value", "type")],
+        F.lit(0.5).alias("confidence"),
+    )
+
+
+@query
+def upserted_text_taxonomy(s: Survey) -> DataFrame:
+    """Rows of typed answers merged twice: the second time changes nothing."""
+    merged = s.taxonomy.withColumn("classified_by", F.lit("person"))
+    for _ in range(2):
+        merged = upsert.upsert_taxonomy(merged, _typed_rows(s), s.options, "response", _stamp())
+    return merged.select("option_id", "bucket", "taxonomy_path", "demographic_key", "confidence", "classified_by", "updated_at")
+
+
+@query
+def upserted_flat_taxonomy(s: Survey) -> DataFrame:
+    """The retired form: the rows of one poll are there, with less confidence."""
+    rows = _typed_rows(s).drop("demographic_key", "demographic_value", "demographic_type")
+    stored = rows.where("poll_id = 'poll_1'").withColumn("confidence", F.lit(0.1))
+    stored = stored.withColumn("updated_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    merged = upsert.upsert_flat_taxonomy(stored, rows, _stamp())
+    return merged.select("poll_id", "question_key", "option_value", "bucket", "taxonomy_path", "taxonomy_depth", "confidence", "updated_at")
+
+
 # Identity, demographics, export --------------------------------------------------------------------------------
 
 
@@ -468,9 +504,11 @@ def response_demographics(s: Survey) -> DataFrame:
 
 @query
 def response_grid(s: Survey) -> DataFrame:
-    """The wide grid with the questions of all polls."""
-    names = ["Order status?", "flags", "Brand note?", "Which channel?"]
-    return report.response_grid(_export(s), names)
+    """The wide grid with the questions of all polls, as found in the tally and the export."""
+    rows = written(_export(s), "export")
+    lists = report.question_lists(report_tally(s), rows).orderBy("poll_id").collect()
+    names = dict.fromkeys(name for poll in lists for name in poll["questions"])
+    return report.response_grid(rows, list(names))
 
 
 @query
@@ -602,3 +640,23 @@ def open_polls(s: Survey) -> DataFrame:
 @query
 def page_funnel(s: Survey) -> DataFrame:
     return rules.page_funnel(items.clicks(s)).select("poll_id", "button", "respondents")
+
+
+# One poll ------------------------------------------------------------------------------------------------------
+
+POLL = require_poll_id("poll_2")
+OF_POLL = {
+    "survey_catalog": lambda s: catalog.survey_catalog(s.questions, s.options, POLL),
+    "response_tally": lambda s: tally.response_tally(s.responses, s.questions, s.options, POLL),
+    "report_tally": lambda s: tally.report_tally(s.responses, s.questions, s.options, POLL),
+    "answer_patterns": lambda s: tally.answer_patterns(s.responses, s.options, POLL, top=50),
+    "text_answers": lambda s: catalog.text_answers(s.options, s.questions, s.taxonomy, POLL),
+    "options_to_classify": lambda s: classify.options_to_classify(s.questions, s.options, POLL),
+    "classification_status": lambda s: classify.classification_status(s.questions, s.options, s.taxonomy, POLL),
+    "event_window": lambda s: identity.event_window(s.responses, POLL),
+    "device_user": lambda s: identity.device_user(s.responses, s.events, POLL),
+    "device_publication": lambda s: identity.device_publication(s.responses, s.events, POLL),
+    "identity_candidates": lambda s: identity.identity_candidates(s.responses, s.events, POLL),
+    "respondent_identity": lambda s: identity.respondent_identity(s.responses, s.events, POLL),
+}
+QUERIES |= {f"{name}_of_poll": fn for name, fn in OF_POLL.items()}

@@ -228,4 +228,14 @@ SELECT respondent_id, poll_id FROM tok JOIN pf USING (n) WHERE lower(token) IN (
 _B["page_funnel"] = """SELECT 'poll_' || (user_id % 5 + 1) AS poll_id, CASE event_type WHEN 'view' THEN 'Q1' WHEN 'click' THEN 'Q2' WHEN 'signup' THEN 'Q3' ELSE 'Submit' END AS button, count(DISTINCT user_id) AS respondents
  FROM events WHERE event_type <> 'error' GROUP BY ALL"""
 
+_TYPED = "SELECT poll_id, question_key, upper(option_value) AS option_value, 'preference' AS bucket, 'Brands|' || option_value AS taxonomy_path, CAST(2 AS BIGINT) AS taxonomy_depth, CAST(0.5 AS DOUBLE) AS confidence, TIMESTAMP '2024-06-01' AS updated_at FROM opt WHERE option_source = 'response'"
+_B["upserted_flat_taxonomy"] = _TYPED
+_B["upserted_text_taxonomy"] = """SELECT option_id, bucket, taxonomy_path, demographic_key, confidence, 'person' AS classified_by, updated_at FROM tax
+UNION ALL SELECT option_id, 'preference', 'Brands|' || option_value, NULL, 0.5, 'model', TIMESTAMP '2024-06-01' FROM opt WHERE option_source = 'response'"""
+
+# The same, for one poll.
+for _name in "survey_catalog response_tally report_tally text_answers options_to_classify classification_status event_window device_user device_publication identity_candidates respondent_identity".split():
+    _B[f"{_name}_of_poll"] = f"SELECT * FROM ({_B[_name]}) WHERE poll_id = 'poll_2'"
+_B["answer_patterns_of_poll"] = f"{_B['answer_patterns']} AND b.poll_id = 'poll_2'"
+
 ORACLES = {name: BASE + sql for name, sql in _B.items()}
