@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,20 +40,32 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Rows of one Arrow batch: with long texts, the default of 10,000 is a lot of memory for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+_shipped: set[str] = set()
 
 
-def pieces(batch: pa.RecordBatch, column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def python_ready(spark: SparkSession, rows: int = 2000) -> None:
+    """Before Python runs in tasks: the package goes to the executors, once per application, and Arrow batches get `rows`
+    rows; with long texts, the default of 10,000 is a lot of memory for a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
+def pieces(batch: pa.RecordBatch, column: int, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `limit` bytes of text each; a longer text is a slice of its own."""
     if not batch.num_rows:
         return
-    sizes = batch.column(column).nbytes / batch.num_rows
-    if sizes * batch.num_rows <= limit:
+    if batch.column(column).nbytes <= limit:
         yield batch
         return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
     for i, n in enumerate(lengths.tolist()):
         if i > start and size + n > limit:
@@ -68,9 +83,9 @@ def merged_counts(parts: DataFrame, chunk: str, counts: str) -> DataFrame:
         for batch in batches:
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 part = np.frombuffer(blob, "<u4").astype(np.uint64)
-                total[k] = total[k] + part if k in total else part
+                total[k] = np.minimum(total[k] + part, 2**32 - 1) if k in total else part
         for k, v in total.items():
-            blob = np.minimum(v, 2**32 - 1).astype("<u4").tobytes()
+            blob = v.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blob], pa.binary())], ["chunk", "counts"])
 
     return (

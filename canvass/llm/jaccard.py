@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canvass.llm import words
-from canvass.llm.common import NO_ID, merged_counts, pieces, small_batches, written
+from canvass.llm.common import NO_ID, merged_counts, pieces, python_ready, written
 from canvass.llm.components import components
 
 U = np.uint64
@@ -195,7 +195,7 @@ class NearCopies:
 
     def __init__(self, docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"):
         spark = docs.sparkSession
-        small_batches(spark)
+        python_ready(spark)
         self.n, self.percent = n, percent
         self.docs = docs.select(
             F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.llm.common import pieces, small_batches
+from canvass.llm.common import pieces, python_ready
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account")
@@ -183,7 +183,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_<kind> of each kind, base_sha256 and spans ("kind:start:end", comma-joined)."""
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
         _scan, f"doc_id long, {counts}, base_sha256 string, spans string"

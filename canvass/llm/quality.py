@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.llm import subwords, words
-from canvass.llm.common import pieces, small_batches
+from canvass.llm.common import pieces, python_ready
 from canvass.llm.labelled import held_out, sample
 
 U = np.uint64
@@ -144,7 +144,7 @@ def _scores(model):
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train on at most `rows` labelled rows of each class; the sample reaches the driver as bags of buckets."""
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     found, odds = sample(docs, labels, label, (rows, rows), id_col, text_col)
     found = found.withColumn("text", F.coalesce("text", F.lit("")))
     bags = found.mapInArrow(_bags(BITS), "id long, label int, buckets binary, shares binary").collect()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.llm import subwords, words
-from canvass.llm.common import pieces, small_batches
+from canvass.llm.common import pieces, python_ready
 from canvass.llm.labelled import held_out, sample
 
 U = np.uint64
@@ -323,7 +323,7 @@ def toxicity(
 ) -> DataFrame:
     """Per row: doc_id, held_out, score (of label 1) and predicted (score >= threshold)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     model = spark.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text_col=text_col))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     scored = rows.mapInArrow(_scores(model), "doc_id long, score double")
