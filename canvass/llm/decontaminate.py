@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canvass.llm import words
-from canvass.llm.common import pieces, small_batches, written
+from canvass.llm.common import pieces, python_ready, written
 
 U = np.uint64
 N, KEPT, THRESHOLD = 4, 8, 0.5
@@ -121,14 +121,19 @@ def _frequencies(n: int, packed):
     return run
 
 
-def _hit_rows(n: int, packed):
-    """Texts that may hold seeds, with the seeds and their places."""
+def _hit_rows(n: int, packed, packed_rare):
+    """Texts that may be candidates, with the seeds they may hold and their places: a rare seed, or two seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(packed.value).astype(bool)
+        bits, rare = (np.unpackbits(x.value).astype(bool) for x in (packed, packed_rare))
         for batch in batches:
             for part in pieces(batch, 2):
                 starts, row, seed, at = _found(part.column(2), n, bits)
+                order = np.lexsort((seed, row))
+                again = (seed[order][1:] == seed[order][:-1]) & (row[order][1:] == row[order][:-1])
+                distinct = np.bincount(row, minlength=part.num_rows) - np.bincount(row[order][1:][again], minlength=part.num_rows)
+                enough = (distinct > 1) | (np.bincount(row, rare[_slots(seed)], part.num_rows) > 0)
+                row, seed, at = (x[enough[row]] for x in (row, seed, at))
                 with_hits = np.unique(row)
                 cuts = np.searchsorted(row, np.append(with_hits, part.num_rows)).astype(np.int32)
                 some = part.take(pa.array(with_hits))
@@ -199,7 +204,7 @@ def found_items(
 ) -> DataFrame:
     """As `contamination`, with a hash of the document's text (doc)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     item_text = F.col(f"`{item_text_col}`")
     items = benchmark.select(
         F.col(f"`{item_col}`").cast("long").alias("item_id"), F.xxhash64(item_text).alias("item"), item_text.alias("text")
@@ -219,7 +224,8 @@ def found_items(
     )
     present = written(ranked.select("item_id", "item", "seed", "item_at", "rare"), "benchmark-present")
     schema = "doc_id long, doc long, text string, seeds array<long>, places array<long>"
-    hits = written(rows.mapInArrow(_hit_rows(n, bitmap(spark, present)), schema), "benchmark-hits")
+    maps = bitmap(spark, present), bitmap(spark, present.filter("rare"))
+    hits = written(rows.mapInArrow(_hit_rows(n, *maps), schema), "benchmark-hits")
     pairs = (
         hits.select("doc_id", "doc", F.explode(F.arrays_zip("seeds", "places")).alias("hit"))
         .select("doc_id", "doc", F.col("hit.seeds").alias("seed"), (F.col("hit.places")).alias("at"))
@@ -237,10 +243,12 @@ def found_items(
         "doc_id", "doc", F.struct("item_id", found.text, "diagonals").alias("x")
     )
     pairs = pairs.groupBy("doc_id", "doc").agg(F.collect_list("x").alias("found")).toDF("of_id", "of", "found")
-    texts = hits.select("doc_id", "doc", "text").dropDuplicates(["doc_id", "doc"])
-    met = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc") == F.col("of")))
+    met = hits.select("doc_id", "doc", "text").join(
+        pairs, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc") == F.col("of"))
+    )
     schema = "doc_id long, doc long, item_id long, score double, first_word long, end_word long"
-    return met.select("doc_id", "text", "found", "doc").mapInArrow(_aligned(threshold), schema)
+    # equal rows give equal results
+    return met.select("doc_id", "text", "found", "doc").mapInArrow(_aligned(threshold), schema).distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
