@@ -8,11 +8,20 @@ or with the opening of a special token are encoded as a whole.
 from __future__ import annotations
 
 import os
+import re
+from itertools import chain
 
 import numpy as np
 
 #: Pieces kept by a process before it starts anew; bounds memory, not results.
-PIECES = 500_000
+PIECES = 800_000
+# Latin words, with a mark after them, and over a line break: the pattern cuts these at the same places.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_WORD = re.compile(f" ?{_LETTERS}")
+_MADE = re.compile(f"( ?{_LETTERS})([.,;!?]?)(?:(\n)({_LETTERS})([.,;!?]?))?")
+# The model shows a byte that isn't printable as the next free character from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 class IdTable:
@@ -26,16 +35,25 @@ class IdTable:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def add(self, piece: str, ids) -> None:
-        k, n = len(self.index), len(ids)
-        if k == len(self.starts):
+    def add(self, pieces: list[str], lists: list) -> None:
+        """New pieces, each with its ids."""
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        k, n = len(self.index), int(lengths.sum())
+        while k + len(lists) > len(self.starts):
             self.starts, self.lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lengths))
         while self.used + n > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.used : self.used + n] = ids
-        self.index[piece], self.starts[k], self.lengths[k] = k, self.used, n
+        self.ids[self.used : self.used + n] = np.fromiter(chain.from_iterable(lists), np.uint32, n)
+        self.lengths[k : k + len(lists)] = lengths
+        self.starts[k : k + len(lists)] = self.used + np.cumsum(lengths) - lengths
+        self.index.update(zip(pieces, range(k, k + len(lists)), strict=True))
         self.used += n
 
+    def get(self, piece: str) -> list[int] | None:
+        if (k := self.index.get(piece)) is None:
+            return None
+        return self.ids[self.starts[k] : self.starts[k] + self.lengths[k]].tolist()
+
     def joined(self, k: np.ndarray) -> np.ndarray:
         """The ids of pieces number k, in that order."""
         if not len(k):
@@ -55,34 +73,46 @@ class ByteBPE:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces; those that begin with one space and end visibly are encoded as one text."""
-        plain = [p for p in pieces if p[0] == " " and not p[-1].isspace()]
-        for p in set(pieces).difference(plain):
-            self.known.add(p, self._whole(p))
-        for at in range(0, len(plain), 10_000):
-            some = plain[at : at + 10_000]
-            code = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ids = np.array(code.ids, np.uint32)
-            begins = np.fromiter((x[0] for x in code.offsets), np.int64, len(ids))
-            ends = np.cumsum([len(p) for p in some])
-            cuts = np.searchsorted(begins, ends).tolist()
-            for p, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True):
-                self.known.add(p, ids[a:b])
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces: those of Latin words and marks part by part, each part by the model itself."""
+        fresh: dict[str, list[int]] = {}
+        tokenize, known = self.tokenizer.model.tokenize, self.known
+
+        def part(x: str) -> list[int]:
+            if (ids := fresh.get(x) or known.get(x)) is None:
+                if x.isascii():
+                    shown = "\u0120" + x[1:] if x[0] == " " else x if x != "\n" else "\u010a"
+                else:
+                    shown = x.encode().decode("latin-1").translate(_SHOWN)
+                ids = fresh[x] = [token.id for token in tokenize(shown)]
+            return ids
+
+        for p in pieces:
+            if p in fresh:
+                continue
+            word = p[1:] if p[0] == " " else p
+            if word.isascii() and word.isalpha() or _WORD.fullmatch(p):
+                part(p)
+            elif word[-1:] in (".", ",") and word[:-1].isascii() and word[:-1].isalpha():
+                fresh[p] = part(p[:-1]) + part(p[-1])
+            elif m := _MADE.fullmatch(p):
+                fresh[p] = [k for x in m.groups() if x for k in part(x)]
+            else:
+                fresh[p] = self._whole(p)
+        known.add(list(fresh), list(fresh.values()))
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of one text (uint32)."""
         if "\0" in text or "<|" in text:
             return np.array(self._whole(text), np.uint32)
         pieces = text.replace(" ", "\0 ").split("\0")
-        found = list(map(self.known.index.get, pieces))
-        if None in found:
-            if any(p[:1] == " " and not p[1:2].strip() for p, k in zip(pieces, found, strict=True) if k is None):
+        new = set(pieces).difference(self.known.index)
+        if new:
+            if any(p[:1] == " " and not p[1:2].strip() for p in new):
                 return np.array(self._whole(text), np.uint32)
-            new = list(dict.fromkeys(p for p, k in zip(pieces, found, strict=True) if k is None))
             if len(self.known.index) + len(new) > PIECES:
                 self.known.clear()
-                new = [p for p in dict.fromkeys(pieces) if p]
+                new = {p for p in pieces if p}
             self._learn(new)
-            found = list(map(self.known.index.get, pieces))
-        return self.known.joined(np.array(found, np.int64))
+        k = np.fromiter(map(self.known.index.__getitem__, pieces), np.int64, len(pieces))
+        return self.known.joined(k)

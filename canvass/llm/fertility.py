@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from canvass.llm import words
 from canvass.llm.byte_bpe import PIECES, IdTable
-from canvass.llm.common import pieces, small_batches, written
+from canvass.llm.common import pieces, python_ready, written
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 SYMBOLS = "[#*$%&|<>]"
@@ -50,8 +50,7 @@ class Vocabulary:
         if len(self.known.index) + len(new) > PIECES:
             self.known.clear()
             new = distinct
-        for w, ids in zip(new, self.model.encode(new, num_threads=1) if new else [], strict=True):
-            self.known.add(w, ids)
+        self.known.add(new, self.model.encode(new, num_threads=1) if new else [])
         return np.fromiter(map(self.known.index.__getitem__, distinct), np.int64, len(distinct))
 
 
@@ -159,7 +158,7 @@ def quality_rules(
     lang_col: str = "lang",
 ) -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, kept, and the three measures."""
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").alias("text"),

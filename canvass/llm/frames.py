@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.llm.byte_bpe import ByteBPE
-from canvass.llm.common import shared_dir, small_batches, written
+from canvass.llm.common import python_ready, shared_dir, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -162,7 +162,7 @@ def write_frames(
 
     Rows are in the order of their ids, NULL first, then of their texts. NULL texts are empty: the end id only.
     """
-    small_batches(docs.sparkSession)
+    python_ready(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
     ).withColumn("tie", F.xxhash64("text"))
@@ -194,6 +194,7 @@ def _reading(folder: str):
 
 def read_frames(manifest: DataFrame, folder: str) -> DataFrame:
     """Per document: doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the files."""
+    python_ready(manifest.sparkSession)
     shards = manifest.select("shard", "start")
     many = max(1, min(manifest.count(), 10_000))
     return shards.repartition(many, "shard").mapInArrow(
