@@ -1,13 +1,18 @@
 """Toxicity of texts by a bidirectional gated recurrent network with attention pooling.
 
-A word's input is its own vector plus the mean vector of its byte n-grams (both hashed to a fixed number of buckets).
+A word's input is its own vector plus the mean vector of its byte n-grams (hashed to a fixed number of buckets). Words
+of at least LEAST training texts have vectors of their own, found by 64 hash bits; all others share one, so a word that
+occurs once can't stand for its text's label. The first entry of a word's vector starts from the log odds of the texts
+that hold it, drawn to the classes' odds by SMOOTH texts more.
+
 Two gated recurrent layers read a window of LENGTH words from both ends; attention weighs the states, and a linear layer
 gives the window's log odds. A text's value is the highest of all its windows, which overlap by half; a logistic fit on
 rows that the network wasn't trained on turns it into a probability.
 
 Training is in numpy on the driver, on a bounded sample (ROWS labelled rows of the two classes, and WORDS words of each: a
 longer text gives evenly spaced windows). A label belongs to the text, not to a window, so each round learns from the
-window of each text that is the most toxic so far, and from random windows of the clean ones.
+TOP windows of each toxic text that are the most toxic so far, from the most toxic window of each clean text, and from
+random windows of the clean ones.
 
 NULL and empty texts have no windows: their score is the share of toxic rows. Without labels of both classes all scores
 are. Equal rows get equal scores.
@@ -31,7 +36,10 @@ from canvass.llm.labelled import held_out, sample
 U = np.uint64
 BITS, WIDTH, STATE = 15, 12, 8
 LENGTH, STRIDE = 32, 16
-ROWS, WORDS, ROUNDS, BATCH, RATE = (1800, 700), 1600, 16, 128, 0.04
+ROWS, WORDS, ROUNDS, BATCH, RATE = (1800, 700), 1600, 8, 128, 0.01
+LEAST, SMOOTH, MOST, TOP = 3, 2.0, 3.0, 2
+#: Steps of gradient descent at least: a small sample gets more rounds.
+STEPS = 180
 THRESHOLD = 0.7
 #: Windows computed at once when scoring.
 TOGETHER = 2048
@@ -43,7 +51,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Distinct words and their features: the word's bucket, and its n-grams as (word number, bucket)."""
+    """Distinct words and their features: the place of the word's vector, and its n-grams as (word number, bucket)."""
 
     own: np.ndarray
     number: np.ndarray
@@ -54,10 +62,16 @@ class Vocabulary:
         self.count = np.maximum(np.bincount(self.number, minlength=len(self.own)), 1).astype(np.float32)
 
     @classmethod
-    def of(cls, distinct: pa.Array) -> Vocabulary:
+    def of(cls, distinct: pa.Array, known: np.ndarray) -> Vocabulary:
+        """known: sorted hashes of the words with vectors of their own; place 0 is that of all others."""
         number, bucket = subwords.features(distinct, BITS)
-        n = len(distinct)
-        return cls(bucket[:n], number[n:], bucket[n:])
+        n, h = len(distinct), words.hashes(distinct)
+        place = np.searchsorted(known, h)
+        own = np.zeros(n, np.int64)
+        inside = np.flatnonzero(place < len(known))
+        inside = inside[known[place[inside]] == h[inside]]
+        own[inside] = place[inside] + 1
+        return cls(own, number[n:], bucket[n:])
 
 
 def _spread(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
@@ -68,13 +82,13 @@ def _spread(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
 class Network:
     """Parameters by name, the forward pass, and the gradient of the logistic loss."""
 
-    def __init__(self, seed: int = 0, bits: int = BITS, width: int = WIDTH, state: int = STATE):
+    def __init__(self, seed: int = 0, bits: int = BITS, width: int = WIDTH, state: int = STATE, known: np.ndarray | None = None):
         rng = np.random.default_rng(seed)
         near = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
-        self.state = state
+        self.state, self.known = state, known
         self.p = {
-            "words": rng.normal(0, 0.1, (1 << bits, width)).astype(np.float32),
-            "chars": rng.normal(0, 0.3, (1 << bits, width)).astype(np.float32),
+            "words": rng.normal(0, 0.02, (1 << bits if known is None else len(known) + 1, width)).astype(np.float32),
+            "chars": rng.normal(0, 0.1, (1 << bits, width)).astype(np.float32),
             "query": near(2 * state, state), "look": near(state, 1), "out": near(2 * state, 1), "bias": np.zeros(1, np.float32),
         }
         for d in "fb":  # update, reset and new state, side by side
@@ -157,9 +171,11 @@ class Network:
         return g, of_x
 
     def input_gradient(self, vocabulary: Vocabulary, of_x: np.ndarray) -> dict[str, np.ndarray]:
-        size = len(self.p["words"])
         share = of_x / vocabulary.count[:, None]
-        return {"words": _spread(vocabulary.own, of_x, size), "chars": _spread(vocabulary.bucket, share[vocabulary.number], size)}
+        return {
+            "words": _spread(vocabulary.own, of_x, len(self.p["words"])),
+            "chars": _spread(vocabulary.bucket, share[vocabulary.number], len(self.p["chars"])),
+        }
 
 
 class Adam:
@@ -206,7 +222,7 @@ def text_values(texts: pa.Array, network: Network) -> np.ndarray:
     out = np.full(len(texts), -np.inf)
     if len(flat):
         code = flat.dictionary_encode()
-        x = network.inputs(Vocabulary.of(code.dictionary))
+        x = network.inputs(Vocabulary.of(code.dictionary, network.known))
         row, first, size = windows(starts)
         np.maximum.at(out, row, _window_values(network, x, np.asarray(code.indices, np.int64), first, size))
     return out
@@ -249,6 +265,22 @@ def _clipped(text: str) -> list[str]:
     return [x for a in firsts for x in w[a : a + LENGTH]]
 
 
+def _evidence(distinct: pa.Array, at: np.ndarray, row: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the words in at least LEAST of the texts, and the log odds of the texts that hold each over those of
+    all texts, at most MOST to either side; at, row: word and text of every place, y: labels of the texts."""
+    n = len(distinct)
+    pairs = np.unique(at * len(y) + row)
+    word, toxic = pairs // len(y), y[pairs % len(y)]
+    held, found = np.bincount(word, minlength=n), np.bincount(word, toxic, n)
+    h = words.hashes(distinct)
+    chosen = np.flatnonzero(held >= LEAST)
+    chosen = chosen[np.argsort(h[chosen])]
+    share = np.bincount(y[np.unique(row)], minlength=2) / max(len(np.unique(row)), 1)
+    p = (found[chosen] + SMOOTH * share[1]) / (held[chosen] + SMOOTH)
+    odds = np.log(np.maximum(p, 1e-9) / np.maximum(1 - p, 1e-9)) - np.log(max(share[1], 1e-9) / max(share[0], 1e-9))
+    return h[chosen], np.clip(odds, -MOST, MOST)
+
+
 def train(texts: list[str], labels: list[int], odds: float, rounds: int = ROUNDS, seed: int = 0) -> Model:
     """One text in five is left for the logistic fit."""
     y = np.array(labels)
@@ -258,24 +290,27 @@ def train(texts: list[str], labels: list[int], odds: float, rounds: int = ROUNDS
     lists = [_clipped(t) for t in texts]
     starts = np.concatenate(([0], np.cumsum([len(w) for w in lists])))
     code = pa.array([x for w in lists for x in w], pa.string()).dictionary_encode()
-    at, vocabulary = np.asarray(code.indices, np.int64), Vocabulary.of(code.dictionary)
+    at = np.asarray(code.indices, np.int64)
     row, first, size = windows(starts)
     learns = np.arange(len(y)) % 5 != 4 if len(y) > 20 else np.ones(len(y), bool)
     order = np.argsort(row, kind="stable")
     cuts = np.searchsorted(row[order], np.arange(len(y) + 1))
-    network = Network(seed)
+    text_of = words.rows_of(starts)
+    known, evidence = _evidence(code.dictionary, at[learns[text_of]], text_of[learns[text_of]], y)
+    vocabulary = Vocabulary.of(code.dictionary, known)
+    network = Network(seed, known=known)
+    network.p["words"][1:, 0] += evidence.astype(np.float32)
     adam = Adam(network.p, RATE)
     place = np.arange(LENGTH)
     clean = np.flatnonzero(learns[row] & (y[row] == 0))
     per_row = [order[cuts[r] : cuts[r + 1]] for r in np.flatnonzero(learns) if cuts[r] < cuts[r + 1]]
+    a_round = sum(min(len(w), TOP if y[row[w[0]]] else 1) for w in per_row) + min(len(per_row) // 3, len(clean))
+    rounds = max(rounds, -(-STEPS // max(-(-a_round // BATCH), 1)))
     for n in range(rounds):
         adam.rate = RATE * (1 - n / rounds) ** 0.5
-        if n < 3:  # nothing is known yet: any window
-            chosen = np.concatenate([rng.choice(w, min(3, len(w)), replace=False) for w in per_row])
-        else:
-            value = _window_values(network, network.inputs(vocabulary), at, first, size)
-            chosen = np.array([w[value[w].argmax()] for w in per_row])
-            chosen = np.concatenate((chosen, rng.choice(clean, min(len(chosen) // 3, len(clean)), replace=False)))
+        value = _window_values(network, network.inputs(vocabulary), at, first, size)
+        chosen = np.concatenate([w[np.argsort(-value[w], kind="stable")[: TOP if y[row[w[0]]] else 1]] for w in per_row])
+        chosen = np.concatenate((chosen, rng.choice(clean, min(len(per_row) // 3, len(clean)), replace=False)))
         chosen = rng.permutation(chosen)
         for k in range(0, len(chosen), BATCH):
             some = chosen[k : k + BATCH]

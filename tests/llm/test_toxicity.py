@@ -105,3 +105,16 @@ def test_held_out_accuracy(spark):
     held = [(r.toxic, got[r.doc_id].predicted) for r in labels.collect() if got[r.doc_id].held_out]
     assert np.mean([b == 0 for a, b in held if a == 0]) > 0.98
     assert np.mean([b == 1 for a, b in held if a == 1]) > 0.6
+
+
+def test_held_out_recall_per_language(spark):
+    """Marks are rare word forms outside English; there are few toxic texts of each of these languages."""
+    folder = "/root/testdata/sf0.1"
+    labels, docs = spark.read.parquet(f"{folder}/labels.parquet"), spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    lang = dict(docs.select("doc_id", "lang").collect())
+    held = [(r.toxic, got[r.doc_id].predicted, lang[r.doc_id]) for r in labels.collect() if got[r.doc_id].held_out]
+    found = {g: [b for a, b, x in held if a == 1 and x == g] for g in ("en", "de", "es", "fr")}
+    assert sum(map(sum, found.values())) >= 0.84 * sum(map(len, found.values()))
+    assert all(sum(x) >= 0.5 * len(x) for x in found.values())
+    assert np.mean([b == 0 for a, b, _ in held if a == 0]) > 0.985
