@@ -32,7 +32,7 @@ BLANK = " \t\n\x0b\x0c\r"
 LEAST_WORDS, WINDOW, REPEATS = 10, 5, 20
 #: Measure: cells per unit of its grid, least width of the band to either side of the median.
 MEASURES = {"chars_per_token": (256, 0.1), "byte_share": (1024, 0.05), "token_entropy": (64, 0.5)}
-REACH, LEAST = 4.0, 20
+REACH, LEAST = 2.0, 20
 
 
 class Vocabulary:

@@ -73,3 +73,13 @@ def test_given_documents(spark, model, folder):
     labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
     good = [got[r.doc_id][7] for r in labels if r.quality == 1 and not got[r.doc_id][6]]
     assert sum(good) >= 0.97 * len(good)
+
+
+def test_marked_bad_texts_are_rejected(spark):
+    """Of the labelled texts that pass the base rules: most bad ones go, nearly all good ones stay."""
+    folder = "/root/testdata/sf0.1"
+    got = quality_rules(spark.read.parquet(f"{folder}/documents.parquet")).filter("not base_failed")
+    rows = got.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("quality", "kept").collect()
+    bad, good = ([r.kept for r in rows if r.quality == q] for q in (0, 1))
+    assert sum(bad) <= 0.25 * len(bad)
+    assert sum(good) >= 0.985 * len(good)
