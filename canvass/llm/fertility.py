@@ -4,7 +4,9 @@ Per text: characters per token, share of tokens that are single bytes the vocabu
 the tokens (bits). Words are encoded one by one, as the vocabulary never joins them. Each measure has a band per
 language and length class (power of two of the number of tokens), from all texts of that group that pass the base
 rules: quartiles on a fixed grid, widened by `reach` times their distance and at least to a fixed width around the
-median. A text outside any band is rejected; groups of fewer than `least` texts reject none.
+median. A class of fewer than `least` texts takes in its language's neighbouring classes, as few as give it so many,
+and is widened by the distance of the quartiles once more for each length class it reaches out. A text outside any band
+is rejected; a language of fewer than `least` such texts has no band.
 
 Base rules: fewer than 10 words, or more than 20 % of the words in 5-word windows that occur twice or more.
 
@@ -124,6 +126,25 @@ def _measures(vocabulary: str):
     return run
 
 
+def _with_neighbours(counts: DataFrame, least: int) -> DataFrame:
+    """Cells of every class with those of the classes up to `near` away: the least distance that gives `least` texts.
+
+    A language's classes are one short list, as there are at most 64 of them.
+    """
+    each = counts.filter(F.col("m") == next(iter(MEASURES))).groupBy("lang", "size").agg(F.sum("held").alias("n"))
+    listed = each.groupBy("lang").agg(F.collect_list(F.struct("size", "n")).alias("classes"))
+    target = listed.select("lang", "classes", F.explode("classes.size").alias("to"))
+
+    def enough(r):
+        inside = F.filter("classes", lambda c: F.abs(c["size"] - F.col("to")) <= r)
+        return F.aggregate(inside, F.lit(0).cast("long"), lambda n, c: n + c["n"]) >= least
+
+    target = target.withColumn("near", F.array_min(F.filter(F.sequence(F.lit(0), F.lit(63)), enough))).filter("near is not null")
+    target = target.select(F.col("lang").alias("to_lang"), "to", "near", F.explode(F.expr("sequence(to - near, to + near)")).alias("of"))
+    met = counts.join(target, F.col("lang").eqNullSafe(F.col("to_lang")) & (F.col("size") == F.col("of")))
+    return met.groupBy("lang", F.col("to").alias("size"), "near", "m", "cell").agg(F.sum("held").alias("held"))
+
+
 def bands(measured: DataFrame, reach: float = REACH, least: int = LEAST) -> DataFrame:
     """One row per language and length class: low_<measure> and high_<measure>."""
     cells = [F.struct(F.lit(m).alias("m"), F.floor(F.col(m) * g).alias("cell")) for m, (g, _) in MEASURES.items()]
@@ -133,15 +154,16 @@ def bands(measured: DataFrame, reach: float = REACH, least: int = LEAST) -> Data
         .groupBy("lang", "size", "x.m", "x.cell")
         .agg(F.count(F.lit(1)).alias("held"))
     )
+    counts = _with_neighbours(counts, least)
     group = Window.partitionBy("lang", "size", "m")
     counts = counts.withColumn("up_to", F.sum("held").over(group.orderBy("cell"))).withColumn("all", F.sum("held").over(group))
     quarter = lambda q: F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("cell")))
-    found = counts.filter(F.col("all") >= least).groupBy("lang", "size", "m").agg(
+    found = counts.groupBy("lang", "size", "near", "m").agg(
         quarter(0.25).alias("q1"), quarter(0.5).alias("q2"), quarter(0.75).alias("q3")
     )
     grid = F.create_map(*[F.lit(x) for m, (g, _) in MEASURES.items() for x in (m, float(g))])[F.col("m")]
     width = F.create_map(*[F.lit(x) for m, (_, w) in MEASURES.items() for x in (m, w)])[F.col("m")]
-    spread = reach * (F.col("q3") - F.col("q1"))
+    spread = (reach + F.col("near")) * (F.col("q3") - F.col("q1"))
     found = found.withColumn("low", F.least((F.col("q1") - spread) / grid, F.col("q2") / grid - width))
     found = found.withColumn("high", F.greatest((F.col("q3") + 1 + spread) / grid, (F.col("q2") + 1) / grid + width))
     one = [F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}_{m}") for m in MEASURES for c in ("low", "high")]

@@ -83,3 +83,15 @@ def test_marked_bad_texts_are_rejected(spark):
     bad, good = ([r.kept for r in rows if r.quality == q] for q in (0, 1))
     assert sum(bad) <= 0.25 * len(bad)
     assert sum(good) >= 0.985 * len(good)
+
+
+def test_small_classes_take_their_neighbours(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice(["ther", "ing", "con", "ation"]) for _ in range(2))
+    rows = [(i, " ".join(word() for _ in range(100)), "en") for i in range(100)]
+    rows += [(1000, " ".join("%&*" + chr(0x1F600 + rnd.randrange(50)) for _ in range(1500)), "en")]  # alone in its length class
+    rows += [(1001, " ".join(word() for _ in range(45)), "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert not got[1000].base_failed and not got[1000].kept
+    assert got[1001].kept
