@@ -9,8 +9,8 @@ Two gated recurrent layers read a window of LENGTH words from both ends; attenti
 gives the window's log odds. A text's value is the highest of all its windows, which overlap by half; a logistic fit on
 rows that the network wasn't trained on turns it into a probability.
 
-Training is in numpy on the driver, on a bounded sample (ROWS labelled rows of the two classes, and WORDS words of each: a
-longer text gives evenly spaced windows). A label belongs to the text, not to a window, so each round learns from the
+Training is in numpy on the driver, on a bounded sample (ROWS labelled rows of the two classes, as whole texts with
+WORDS words each on average at most). A label belongs to the text, not to a window, so each round learns from the
 TOP windows of each toxic text that are the most toxic so far, from the most toxic window of each clean text, and from
 random windows of the clean ones.
 
@@ -255,14 +255,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(max(b[0], 1e-3)), float(b[1])
 
 
-def _clipped(text: str) -> list[str]:
-    """At most WORDS words for training: whole windows, evenly spaced."""
-    w = text.split()
-    if len(w) <= WORDS:
-        return w
-    many = WORDS // LENGTH
-    firsts = [k * (len(w) - LENGTH) // (many - 1) for k in range(many)]
-    return [x for a in firsts for x in w[a : a + LENGTH]]
+def _whole(texts: list[str], labels: list[int]) -> tuple[list[pa.Array], list[int]]:
+    """Words of whole texts and their labels, in order, as far as WORDS words for each text that ROWS allows of the class;
+    a text that no longer fits is left out, as a part of it may not show what its label says."""
+    left, lists, kept = [WORDS * n for n in ROWS], [], []
+    for text, label in zip(texts, labels, strict=True):
+        w = text.split()
+        if len(w) <= left[label]:
+            left[label] -= len(w)
+            lists.append(pa.array(w, pa.string()))
+            kept.append(label)
+    return lists, kept
 
 
 def _evidence(distinct: pa.Array, at: np.ndarray, row: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,13 +286,14 @@ def _evidence(distinct: pa.Array, at: np.ndarray, row: np.ndarray, y: np.ndarray
 
 def train(texts: list[str], labels: list[int], odds: float, rounds: int = ROUNDS, seed: int = 0) -> Model:
     """One text in five is left for the logistic fit."""
+    lists, labels = _whole(texts, labels)
     y = np.array(labels)
     if len(np.unique(y)) < 2:
         return Model(None, 1, 0, odds)
     rng = np.random.default_rng(seed)
-    lists = [_clipped(t) for t in texts]
     starts = np.concatenate(([0], np.cumsum([len(w) for w in lists])))
-    code = pa.array([x for w in lists for x in w], pa.string()).dictionary_encode()
+    code = pa.concat_arrays(lists).dictionary_encode()
+    del lists
     at = np.asarray(code.indices, np.int64)
     row, first, size = windows(starts)
     learns = np.arange(len(y)) % 5 != 4 if len(y) > 20 else np.ones(len(y), bool)

@@ -118,3 +118,12 @@ def test_held_out_recall_per_language(spark):
     assert sum(map(sum, found.values())) >= 0.84 * sum(map(len, found.values()))
     assert all(sum(x) >= 0.5 * len(x) for x in found.values())
     assert np.mean([b == 0 for a, b, _ in held if a == 0]) > 0.985
+
+
+def test_long_texts_are_learnt_whole(monkeypatch):
+    long = " ".join(f"w{i}" for i in range(20_000))
+    lists, labels = toxicity._whole([long, "lo mi", long], [1, 0, 0])
+    assert [len(w) for w in lists] == [20_000, 2, 20_000] and labels == [1, 0, 0]
+    monkeypatch.setattr(toxicity, "ROWS", (1, 1))
+    lists, labels = toxicity._whole(["lo", long, "mi " * 1599, "ra"], [1, 1, 1, 1])
+    assert [len(w) for w in lists] == [1, 1599] and labels == [1, 1]  # what no longer fits is left out, never cut
