@@ -81,7 +81,3 @@ def taxonomy(spark):
         return spark.createDataFrame(full, schemas.TAXONOMY_TABLE)
 
     return build
-
-
-def tuples(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from helpers import tuples
 from pyspark.sql import functions as F
 
 from canvass.operators import checks, parity

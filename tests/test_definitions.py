@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 
 from canvass.sources import definitions
 

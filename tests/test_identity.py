@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 
 from canvass.operators import identity
 

@@ -2,7 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import tuples
+from helpers import tuples
 
 from canvass.plans import jobs
 from canvass.session import shared_dir, shared_root, written

@@ -1,4 +1,4 @@
-from conftest import tuples
+from helpers import tuples
 
 from canvass.sources import responses as source
 

@@ -1,7 +1,7 @@
 import json
 from datetime import datetime
 
-from conftest import tuples
+from helpers import tuples
 
 from canvass.operators.upsert import NEW_IDS_FROM
 from canvass.sources.responses import stage
