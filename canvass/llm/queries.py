@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from canvass.llm import line_dedup, mixing
 from canvass.llm.common import table
+from canvass.llm.conversations import conversation_repair
 from canvass.llm.decontaminate import contamination
 from canvass.llm.fertility import quality_rules
 from canvass.llm.frames import token_frames
 from canvass.llm.jaccard import jaccard_components
 from canvass.llm.pii import find_pii
 from canvass.llm.quality import quality
+from canvass.llm.simhash import simhash_components
 from canvass.llm.substrings import substring_dedup
 from canvass.llm.toxicity import toxicity
+from canvass.llm.whitening import embedding_whitening
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +61,18 @@ def op10_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -69,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fertility_rules": op8_fertility_rules,
     "op9_contamination": op9_contamination,
     "op10_token_frames": op10_token_frames,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_simhash": op12_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
