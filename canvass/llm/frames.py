@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.llm.byte_bpe import ByteBPE
-from canvass.llm.common import python_ready, shared_dir, written
+from canvass.llm.common import pieces, python_ready, shared_dir, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 FRAME_TOKENS = 1 << 16
+#: Bytes of text encoded at once.
+SLICE = 8 << 20
 #: Fixed values of the format.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
 _ENTRY, _INDEX, _DOC = struct.Struct("<III"), struct.Struct("<qIIQ"), np.dtype([("id", "<i8"), ("null", "<u4"), ("n", "<u4")])
@@ -131,7 +133,7 @@ def _writing(folder: str, vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        coder, end, first, writer = ByteBPE(vocabulary), np.array([end_id], np.uint32), None, None
+        coder, first, writer = ByteBPE(vocabulary), None, None
         system, root = _place(folder)
         path = f"{root}/{uuid.uuid4().hex}.zst"
         for batch in batches:
@@ -140,9 +142,9 @@ def _writing(folder: str, vocabulary: str, end_id: int):
             if writer is None:
                 system.create_dir(root, recursive=True)
                 writer, first = Writer(stream := system.open_output_stream(path, compression=None)), batch.column(0)[0].as_py()
-            for i in range(batch.num_rows):
-                doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                writer.add(doc_id, np.concatenate((coder.encode(text or ""), end)))
+            for part in pieces(batch, 1, SLICE):
+                for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1), end_id), strict=True):
+                    writer.add(doc_id, ids)
         if writer:
             writer.close()
             stream.close()

@@ -29,12 +29,29 @@ def plain(tokenizer, rows):
 def test_cached_encoding(tokenizer, monkeypatch):
     monkeypatch.setattr(byte_bpe, "PIECES", 300)
     rnd, coder = random.Random(2), ByteBPE(frames.VOCABULARY)
-    bits = ["a", "It's", "'s", " ", "  ", "   ", "\n", "\n\n", "\t", "\r\n", "x.", "é", "中文", " ", "　", "1234", "!!", "<|endoftext|>", "\0", "🙂", "\x1c", "we'll"]
-    texts = ["", " ", "\n", " a", "a "] + [
-        "".join(rnd.choice(bits) + rnd.choice(["", " ", " "]) for _ in range(rnd.randrange(1, 40))) for _ in range(1500)
+    assert coder.plain
+    bits = ["a", "It's", "'s", "s'", " ", "  ", "   ", "\n", "\n\n", "\t", "\r\n", "x.", "é", "É,", "×", "÷", "ß÷", "中文", "\xa0", "\u3000", "\x85", "\u2028"]
+    bits += ["1234", "3.5", "!!", "...", "?!\n", "<|endoftext|>", "<|", "\0", "🙂", "\x1c", "we'll", "de%%%", "½", "ʼn", "ſ", "ǆ", "e\u0301", "\x7f", "~", "/", "9", "Å.", "'"]
+    texts = ["", " ", "\n", " a", "a ", "×", "\n.", None] + [
+        "".join(rnd.choice(bits) + rnd.choice(["", "", " ", "\n"]) for _ in range(rnd.randrange(1, 40))) for _ in range(4000)
     ]
-    for t in texts:
-        assert coder.encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    for size in (1, 7, 500):
+        rnd.shuffle(texts)
+        for i in range(0, len(texts), size):
+            part = texts[i : i + size]
+            # a slice of a longer array: offsets don't start at zero
+            got = coder.encode(pa.array(["other"] + part).slice(1), 2)
+            assert len(got) == len(part)
+            for t, ids in zip(part, got, strict=True):
+                assert ids.tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [2], repr(t)
+
+
+def test_other_vocabularies_are_encoded_whole():
+    path = frames.public_tokenizers.path("word_bpe_49k.json")
+    coder, model = ByteBPE(path), Tokenizer.from_file(path)
+    assert not coder.plain
+    for t in ("Two words.\nAnd", "", " É "):
+        assert coder.encode(pa.array([t]), 7)[0].tolist() == model.encode(t, add_special_tokens=False).ids + [7]
 
 
 def rows_of(df):
@@ -97,6 +114,11 @@ def test_damage():
         list(frames.Reader(pa.BufferReader(bytes(data))).frame(0))
 
 
+def test_clashing_columns(spark, tokenizer):
+    df = spark.createDataFrame([(1, "a b", 5, 6, "x")], "doc_id long, text string, id long, tie long, part string")
+    assert rows_of(frames.token_frames(df)) == plain(tokenizer, [(1, "a b")])
+
+
 def test_given_documents(spark, tokenizer):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = plain(tokenizer, [(r.doc_id, r.text) for r in docs.collect()])
