@@ -1,6 +1,6 @@
 """Quality of texts by supervised subword embeddings.
 
-A text's features are its words, their byte n-grams and its pairs of neighbouring words, hashed to a fixed number of
+A text's features are its words, their character n-grams and its pairs of neighbouring words, hashed to a fixed number of
 buckets; a word that repeats the one before it counts as the pair (same, same), whichever word it is. The vectors of all
 features of a text are averaged; a linear layer and softmax give the class. Vectors and layer are trained by stochastic
 gradient descent in numpy on the driver, on a bounded sample of the labelled rows (ROWS of each class, with BUCKETS a

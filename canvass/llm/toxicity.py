@@ -1,6 +1,7 @@
 """Toxicity of texts by a bidirectional gated recurrent network with attention pooling.
 
-A word's input is its own vector plus the mean vector of its byte n-grams (hashed to a fixed number of buckets). Words
+A word's input is its own vector plus the vectors of its character n-grams (hashed to a fixed number of buckets), added and
+divided by the root of their number. Words
 of at least LEAST training texts have vectors of their own, found by 64 hash bits; all others share one, so a word that
 occurs once can't stand for its text's label. The first entry of a word's vector starts from the log odds of the texts
 that hold it, drawn to the classes' odds by SMOOTH texts more.
@@ -9,10 +10,10 @@ Two gated recurrent layers read a window of LENGTH words from both ends; attenti
 gives the window's log odds. A text's value is the highest of all its windows, which overlap by half; a logistic fit on
 rows that the network wasn't trained on turns it into a probability.
 
-Training is in numpy on the driver, on a bounded sample (ROWS labelled rows of the two classes, as whole texts with
-WORDS words each on average at most). A label belongs to the text, not to a window, so each round learns from the
-TOP windows of each toxic text that are the most toxic so far, from the most toxic window of each clean text, and from
-random windows of the clean ones.
+Training is in numpy on the driver, on a bounded sample (`rows` labelled rows of the two classes, as whole texts with
+`each` words on average at most; parameters of `fit`). A label belongs to the text, not to a window, so each round learns
+from the TOP windows of each toxic text that are the most toxic so far, from the most toxic window of each clean text, and
+from random windows of the clean ones. In the first round, windows are as toxic as the log odds above zero of their words.
 
 NULL and empty texts have no windows: their score is the share of toxic rows. Without labels of both classes all scores
 are. Equal rows get equal scores.
@@ -34,7 +35,7 @@ from canvass.llm.common import pieces, python_ready
 from canvass.llm.labelled import held_out, sample
 
 U = np.uint64
-BITS, WIDTH, STATE = 15, 12, 8
+BITS, WIDTH, STATE = 17, 12, 8
 LENGTH, STRIDE = 32, 16
 ROWS, WORDS, ROUNDS, BATCH, RATE = (1800, 700), 1600, 8, 128, 0.01
 LEAST, SMOOTH, MOST, TOP = 3, 2.0, 3.0, 2
@@ -59,7 +60,7 @@ class Vocabulary:
     count: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.count = np.maximum(np.bincount(self.number, minlength=len(self.own)), 1).astype(np.float32)
+        self.count = np.sqrt(np.maximum(np.bincount(self.number, minlength=len(self.own)), 1)).astype(np.float32)
 
     @classmethod
     def of(cls, distinct: pa.Array, known: np.ndarray) -> Vocabulary:
@@ -95,7 +96,10 @@ class Network:
             self.p |= {f"{d}.in": near(width, 3 * state), f"{d}.state": near(state, 3 * state), f"{d}.bias": np.zeros(3 * state, np.float32)}
 
     def inputs(self, vocabulary: Vocabulary) -> np.ndarray:
-        chars = _spread(vocabulary.number, self.p["chars"][vocabulary.bucket], len(vocabulary.own))
+        # one column at a time: the vectors of all n-grams would be much larger than those of the words
+        columns = np.ascontiguousarray(self.p["chars"].T)
+        number, bucket, n = vocabulary.number, vocabulary.bucket, len(vocabulary.own)
+        chars = np.stack([np.bincount(number, c[bucket], n) for c in columns], 1).astype(np.float32)
         return self.p["words"][vocabulary.own] + chars / vocabulary.count[:, None]
 
     def _run(self, d: str, projected: np.ndarray, at: np.ndarray, mask: np.ndarray | None, keep: list | None) -> np.ndarray:
@@ -255,15 +259,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(max(b[0], 1e-3)), float(b[1])
 
 
-def _whole(texts: list[str], labels: list[int]) -> tuple[list[pa.Array], list[int]]:
-    """Words of whole texts and their labels, in order, as far as WORDS words for each text that ROWS allows of the class;
-    a text that no longer fits is left out, as a part of it may not show what its label says."""
-    left, lists, kept = [WORDS * n for n in ROWS], [], []
+def _whole(texts: list[str], labels: list[int], most: tuple[int, int]) -> tuple[list[pa.Array], list[int]]:
+    """Words of whole texts and their labels, in order, as far as `most` words of each class allow; a text that no longer
+    fits is left out, as a part of it may not show what its label says."""
+    left, lists, kept = list(most), [], []
     for text, label in zip(texts, labels, strict=True):
-        w = text.split()
+        w = words.split(pa.array([text]))[1]
         if len(w) <= left[label]:
             left[label] -= len(w)
-            lists.append(pa.array(w, pa.string()))
+            lists.append(w)
             kept.append(label)
     return lists, kept
 
@@ -284,9 +288,16 @@ def _evidence(distinct: pa.Array, at: np.ndarray, row: np.ndarray, y: np.ndarray
     return h[chosen], np.clip(odds, -MOST, MOST)
 
 
-def train(texts: list[str], labels: list[int], odds: float, rounds: int = ROUNDS, seed: int = 0) -> Model:
-    """One text in five is left for the logistic fit."""
-    lists, labels = _whole(texts, labels)
+def train(
+    texts: list[str],
+    labels: list[int],
+    odds: float,
+    rounds: int = ROUNDS,
+    seed: int = 0,
+    most: tuple[int, int] = (WORDS * ROWS[0], WORDS * ROWS[1]),
+) -> Model:
+    """One text in five is left for the logistic fit; most: words of each class."""
+    lists, labels = _whole(texts, labels, most)
     y = np.array(labels)
     if len(np.unique(y)) < 2:
         return Model(None, 1, 0, odds)
@@ -310,9 +321,13 @@ def train(texts: list[str], labels: list[int], odds: float, rounds: int = ROUNDS
     per_row = [order[cuts[r] : cuts[r + 1]] for r in np.flatnonzero(learns) if cuts[r] < cuts[r + 1]]
     a_round = sum(min(len(w), TOP if y[row[w[0]]] else 1) for w in per_row) + min(len(per_row) // 3, len(clean))
     rounds = max(rounds, -(-STEPS // max(-(-a_round // BATCH), 1)))
+    told = np.concatenate(([0.0], np.cumsum(np.maximum(np.append(0, evidence), 0)[vocabulary.own][at])))
     for n in range(rounds):
         adam.rate = RATE * (1 - n / rounds) ** 0.5
-        value = _window_values(network, network.inputs(vocabulary), at, first, size)
+        if n == 0:
+            value = told[first + size] - told[first]
+        else:
+            value = _window_values(network, network.inputs(vocabulary), at, first, size)
         chosen = np.concatenate([w[np.argsort(-value[w], kind="stable")[: TOP if y[row[w[0]]] else 1]] for w in per_row])
         chosen = np.concatenate((chosen, rng.choice(clean, min(len(per_row) // 3, len(clean)), replace=False)))
         chosen = rng.permutation(chosen)
@@ -349,12 +364,21 @@ def _scores(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: tuple[int, int] = ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    rows: tuple[int, int] = ROWS,
+    each: int = WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> Model:
+    """A model from at most `rows` labelled rows of the classes 0 and 1, with `each` words on average at most."""
     found, odds = sample(docs, labels, label, rows, id_col, text_col)
     got = sorted((r._id, r.text or "", r.label) for r in found.collect())
     rng = np.random.default_rng(0)
     got = [got[i] for i in rng.permutation(len(got))]
-    return train([t for _, t, _ in got], [c for _, _, c in got], odds)
+    return train([t for _, t, _ in got], [c for _, _, c in got], odds, most=(each * rows[0], each * rows[1]))
 
 
 def toxicity(

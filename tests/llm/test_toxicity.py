@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from canvass.llm import toxicity
+from canvass.llm import toxicity, words
 from canvass.llm.toxicity import Network, Vocabulary, windows
 
 
@@ -104,7 +104,7 @@ def test_held_out_accuracy(spark):
     got = {r.doc_id: r for r in toxicity.toxicity(spark.read.parquet(f"{folder}/documents.parquet"), labels).collect()}
     held = [(r.toxic, got[r.doc_id].predicted) for r in labels.collect() if got[r.doc_id].held_out]
     assert np.mean([b == 0 for a, b in held if a == 0]) > 0.98
-    assert np.mean([b == 1 for a, b in held if a == 1]) > 0.6
+    assert np.mean([b == 1 for a, b in held if a == 1]) > 0.84
 
 
 def test_held_out_recall_per_language(spark):
@@ -120,10 +120,49 @@ def test_held_out_recall_per_language(spark):
     assert np.mean([b == 0 for a, b, _ in held if a == 0]) > 0.985
 
 
-def test_long_texts_are_learnt_whole(monkeypatch):
+def test_long_texts_are_learnt_whole():
     long = " ".join(f"w{i}" for i in range(20_000))
-    lists, labels = toxicity._whole([long, "lo mi", long], [1, 0, 0])
+    lists, labels = toxicity._whole([long, "lo mi", long], [1, 0, 0], (40_000, 40_000))
     assert [len(w) for w in lists] == [20_000, 2, 20_000] and labels == [1, 0, 0]
-    monkeypatch.setattr(toxicity, "ROWS", (1, 1))
-    lists, labels = toxicity._whole(["lo", long, "mi " * 1599, "ra"], [1, 1, 1, 1])
+    lists, labels = toxicity._whole(["lo", long, "mi " * 1599, "ra"], [1, 1, 1, 1], (1600, 1600))
     assert [len(w) for w in lists] == [1, 1599] and labels == [1, 1]  # what no longer fits is left out, never cut
+
+
+def test_words_are_learnt_as_they_are_scored():
+    """White space of other kinds than space and 9 to 13 is part of a word."""
+    text = "a\xa0b c\u3000d\x1ce\tf"
+    assert toxicity._whole([text], [0], (9, 9))[0][0].to_pylist() == words.split(pa.array([text]))[1].to_pylist()
+    assert len(toxicity._whole([text], [0], (9, 9))[0][0]) == 3
+
+
+def test_score_from_the_parameters():
+    """The score of a text, recomputed window by window in plain steps from the trained parameters."""
+    rows, labels = corpus()
+    model = toxicity.train([t for _, t in rows], [t for _, _, t in labels], -1.0, rounds=3)
+    p, s = model.network.p, model.network.state
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def word(w):
+        v = toxicity.Vocabulary.of(pa.array([w]), model.network.known)
+        return p["words"][v.own[0]] + sum(p["chars"][b] for b in v.bucket) / np.sqrt(len(v.bucket))
+
+    def one(window):
+        x = [word(w) for w in window]
+        both = []
+        for d, order in (("f", range(len(x))), ("b", reversed(range(len(x))))):
+            h, out = np.zeros(s), [None] * len(x)
+            for t in order:
+                i, u = x[t] @ p[f"{d}.in"] + p[f"{d}.bias"], h @ p[f"{d}.state"]
+                z, r = sig(i[:s] + u[:s]), sig(i[s : 2 * s] + u[s : 2 * s])
+                new = np.tanh(i[2 * s :] + r * u[2 * s :])
+                h = out[t] = z * h + (1 - z) * new
+            both.append(out)
+        h = np.array([np.concatenate(pair) for pair in zip(*both, strict=True)])
+        e = np.exp(np.tanh(h @ p["query"]) @ p["look"])[:, 0]
+        return float((e / e.sum()) @ h @ p["out"][:, 0] + p["bias"][0])
+
+    for text in (rows[0][1], rows[3][1], " ".join(t for _, t in rows[:4]), "lo"):
+        w = text.split()
+        starts = [0] if len(w) <= 32 else sorted({*range(0, len(w) - 32, 16), len(w) - 32})
+        want = model.slope * max(one(w[i : i + 32]) for i in starts) + model.shift
+        assert abs(model.log_odds(pa.array([text]))[0] - want) < 1e-3
