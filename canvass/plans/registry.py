@@ -536,6 +536,11 @@ def live_option_stats(s: Survey) -> DataFrame:
     return streams.live_option_stats(s)
 
 
+@query
+def delivered_once(s: Survey) -> DataFrame:
+    return streams.delivered_once(s)
+
+
 # Copies and checks ---------------------------------------------------------------------------------------------
 
 

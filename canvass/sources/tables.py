@@ -6,6 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it isn't there."""
+    fs, folder = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended."""
+    fs, folder = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(folder)
+
+
 def _snapshots(spark: SparkSession, path: str, complete: bool) -> list[int]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())

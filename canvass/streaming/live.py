@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from canvass.functions.measures import percent
 from canvass.operators.upsert import NEW_IDS_FROM, number_rows
+from canvass.sources.keyed import KeyedTable
 from canvass.sources.responses import stage
+from canvass.sources.tables import names
 
 
 def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -75,26 +79,109 @@ def run_raw_append(raw: DataFrame, table: str, checkpoint: str) -> StreamingQuer
     return stream.trigger(availableNow=True).start()
 
 
-def run_option_counts(responses: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep the counter table up to date: each batch replaces it whole from the state, in a folder of its own.
+#: A state store on disk that uploads the changes of a batch, not all of its state.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+COUNTERS = "poll_id string, question_key string, option_value string, votes bigint"
 
-    The counters are per option, not per submission, and a batch that is run again writes the same folder.
-    """
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+def counter_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    return KeyedTable(spark, path, COUNTERS, ["poll_id", "question_key", "option_value"], **options)
 
-    return (
-        option_counts(responses)
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def run_option_counts(responses: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Keep the counters up to date: a batch brings only the counters it changed, with their new totals.
+
+    Totals come from the keyed state, so a batch that is run again brings the same rows.
+    """
+    for key, value in STATE.items():
+        responses.sparkSession.conf.set(key, value)
+    counted = option_counts(responses).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return counted.foreachBatch(table.apply).trigger(availableNow=True).start()
 
 
 def without_repeats(responses: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drop submissions delivered twice within the delay. Only event time is a watermark, never a poll id."""
     timed = responses.withColumn("submitted_time", F.col("submitted_at").cast("timestamp"))
     return timed.withWatermark("submitted_time", delay).dropDuplicatesWithinWatermark(["ingestion_id"])
+
+
+class Intake:
+    """Deliveries (delivery_id, raw) that may come more than once, taken in once each.
+
+    `accepted` holds the staged submissions, one folder per batch; `seen` their ids by day of submission; `aside` what
+    can't be told apart from a repeat: submissions older than the watermark, and those without a time or with one after
+    `until`. The watermark of a batch is `days` before the latest submission of the batches before it, so only
+    the ids of the days since then are read, however long the stream runs. A batch that is run again reads what came
+    before it and writes the same folders.
+    """
+
+    ACCEPTED, SEEN = "accepted", "seen"
+
+    def __init__(self, spark: SparkSession, path: str, days: int, until: str | None = None):
+        self.spark, self.path, self.days = spark, path, days
+        self.until = F.expr("localtimestamp() + interval 1 day") if until is None else F.lit(until).cast("timestamp_ntz")
+
+    def take(self, deliveries: DataFrame, number: int) -> None:
+        folder = lambda name: f"{self.path}/{name}"
+        staged = stage(deliveries.select("delivery_id", "raw"))
+        staged.write.mode("overwrite").parquet(f"{folder('landed')}/batch={number}")
+        staged = self.spark.read.schema(staged.schema).parquet(f"{folder('landed')}/batch={number}")
+        mark = self._mark(number - 1)
+        timed = F.coalesce(F.col("submitted_at") <= self.until, F.lit(False))
+        old = F.lit(False) if mark is None else F.col("submitted_at") < F.date_sub(F.lit(mark), self.days)
+        reason = F.when(~timed, "undated").when(old, "late")
+        staged = staged.withColumn("reason", reason)
+        # of a delivery's copies in one batch the least document counts
+        aside = staged.where("reason IS NOT NULL")
+        aside.write.mode("overwrite").parquet(f"{folder('aside')}/batch={number}")
+        rows = staged.where("reason IS NULL").drop("reason")
+        first = rows.groupBy("delivery_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "delivery_id"]), "raw").alias("r"))
+        first = first.select("delivery_id", "r.*")
+        seen = self._seen(mark, number)
+        if seen is not None:
+            first = first.join(seen, "delivery_id", "left_anti")
+        first.write.mode("overwrite").parquet(f"{folder(self.ACCEPTED)}/batch={number}")
+        taken = self.spark.read.schema(first.schema).parquet(f"{folder(self.ACCEPTED)}/batch={number}")
+        ids = taken.select("delivery_id", F.to_date("submitted_at").alias("day"))
+        ids.write.mode("overwrite").partitionBy("day").parquet(f"{folder(self.SEEN)}/batch={number}")
+        newest = taken.select(F.greatest(F.max(F.to_date("submitted_at")), F.lit(mark).cast("date")).alias("day"))
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{folder('marks')}/batch={number}")
+
+    def _mark(self, number: int):
+        """The latest day of submission up to a batch; each batch's mark takes in those before."""
+        return self.spark.read.parquet(f"{self.path}/marks/batch={number}").first()["day"] if number >= 0 else None
+
+    def _seen(self, mark, number: int) -> DataFrame | None:
+        """Ids of the days since the watermark, of the batches before this one. Batches whose last day is older hold
+        none: their mark says so, and they are passed over."""
+        if mark is None:
+            return None
+        first = mark - timedelta(days=self.days)
+        folders = []
+        for earlier in range(number - 1, -1, -1):
+            days = [n for n in names(self.spark, f"{self.path}/{self.SEEN}/batch={earlier}") if n.startswith("day=")]
+            folders += [f"{self.path}/{self.SEEN}/batch={earlier}/{d}" for d in days if d[4:] >= str(first)]
+            if (latest := self._mark(earlier)) is not None and latest < first:
+                break
+        return self.spark.read.schema("delivery_id bigint").parquet(*folders) if folders else None
+
+    def run(self, deliveries: DataFrame, checkpoint: str) -> StreamingQuery:
+        stream = deliveries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.take)
+        return stream.trigger(availableNow=True).start()
+
+    def accepted(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{self.ACCEPTED}").drop("batch")
+
+    def aside(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/aside").drop("batch")
+
+
+def deliveries(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files of (delivery_id, raw) landing in a folder."""
+    reader = spark.readStream.schema("delivery_id bigint, raw string")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)

@@ -60,7 +60,8 @@ _B["seeded_questions"] = f"SELECT poll_id, question_key, max(question_text) AS q
 _B["seeded_options"] = f"SELECT poll_id, question_key, option_value, 'catalog' AS option_source, option_label, is_catch_all FROM ({_VIEW})"
 _B["unclassified_polls"] = """SELECT DISTINCT o.poll_id FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'catalog' AND o.is_catch_all = false AND q.question_type IN ('single','multi')
  AND NOT EXISTS (SELECT 1 FROM tax tx JOIN opt o2 ON o2.option_id = tx.option_id WHERE o2.poll_id = o.poll_id)"""
-_B["unclassified_options"] = "SELECT option_id, poll_id, question_key, option_value FROM opt WHERE option_source = 'catalog' AND option_id NOT IN (SELECT option_id FROM tax)"
+_B["unclassified_options"] = """, done AS MATERIALIZED (SELECT DISTINCT option_id FROM tax)
+SELECT option_id, poll_id, question_key, option_value FROM opt WHERE option_source = 'catalog' AND NOT EXISTS (SELECT 1 FROM done WHERE done.option_id = opt.option_id)"""
 _B["classification_status"] = """SELECT p.poll_id, (SELECT count(*) FROM tax t JOIN opt o USING (option_id) WHERE o.poll_id = p.poll_id) AS already_classified,
  (SELECT count(*) FROM que q WHERE q.poll_id = p.poll_id AND q.question_type IN ('single','multi')) AS classifiable_cnt,
  (SELECT count(*) FROM tax t JOIN opt o USING (option_id) WHERE o.poll_id = p.poll_id) = 0 AS proceed FROM (SELECT DISTINCT poll_id FROM que) p"""
@@ -188,6 +189,9 @@ _B["live_option_counts"] = _VOTES + "SELECT * FROM vc"
 _B["live_option_stats"] = _VOTES + """SELECT poll_id, question_key, option_value AS label, votes, CAST(floor((votes * 200 + t) / (2 * t)) AS BIGINT) AS percentage
  FROM (SELECT *, CAST(sum(votes) OVER (PARTITION BY poll_id, question_key) AS BIGINT) AS t FROM vc)"""
 
+_B["delivered_once"] = """SELECT ingestion_id AS delivery_id, 'accepted' AS place, CAST(1 AS BIGINT) AS n FROM sub WHERE submitted_at >= DATE '2024-01-10'
+UNION ALL SELECT ingestion_id, 'late', CAST(1 AS BIGINT) FROM sub WHERE submitted_at < DATE '2024-01-10'
+ OR k % 10 = 4 AND submitted_at < (SELECT max(CAST(submitted_at AS DATE)) - 14 FROM sub)"""
 _B["copy_parity"] = """SELECT 'submissions' AS object_name, count(*) AS source_count, count(*) FILTER (WHERE k % 100 <> 99) AS copied_count, CASE WHEN count(*) FILTER (WHERE k % 100 = 99 OR k % 1000 = 7) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM sub
 UNION ALL SELECT 'options', count(*), count(*), 'PASS' FROM opt"""
 _B["catch_up"] = "SELECT ingestion_id FROM sub WHERE k % 100 = 99"
