@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.functions.hashes import is_hash, resolved_hash
@@ -16,6 +14,8 @@ from canvass.session import written
 GUIDE_EVENTS = "[Guides-Surveys]%"
 # Fixed value: days without activity after which a poll is no longer picked up.
 RECENT_DAYS = 14
+#: Ranges of days that the event scan is given at most.
+RANGES = 64
 
 
 def _one_poll(responses: DataFrame, poll_id: str | None) -> DataFrame:
@@ -59,23 +59,28 @@ def publication(properties: Column) -> Column:
     return blank_to_null(F.from_json(properties, "publication_name string")["publication_name"])
 
 
-def _within(events: DataFrame, respondents: DataFrame) -> DataFrame:
-    """Events on the days of any window, as constant ranges that the scan can skip files and partitions by.
+def covered_days(windows: DataFrame, most: int = RANGES) -> DataFrame:
+    """At most `most` ranges of days (first, end; the end is not in it) that cover all windows: the widest gaps between
+    them stay out, narrower ones are taken in. One row a window is all that is sorted, never one a day, so a submission
+    with an absurd date only widens a range."""
+    early = Window.orderBy("win_start", "win_end").rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.greatest(F.datediff("win_start", F.max("win_end").over(early)) - 1, F.lit(0))
+    rows = windows.distinct().withColumn("gap", F.coalesce(gap, F.lit(0)))
+    widest = F.row_number().over(Window.orderBy(F.desc("gap"), "win_start", "win_end"))
+    cut = ((F.col("nth") < most) & (F.col("gap") > 0)).cast("int")
+    upto = Window.orderBy("win_start", "win_end").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("nth", widest).withColumn("island", F.sum(cut).over(upto))
+    return rows.groupBy("island").agg(F.min("win_start").alias("first"), F.date_add(F.max("win_end"), 1).alias("end"))
 
-    The days reach the driver: a bounded list, whatever the number of polls. Neighbouring days are one range, so the
-    time between two polls far apart is not read.
-    """
-    windows = respondents.select("win_start", "win_end").distinct()
-    days = windows.select(F.explode(F.sequence("win_start", "win_end")).alias("day")).distinct()
-    ranges: list[list[date]] = []
-    for day in sorted(r["day"] for r in days.collect()):
-        if ranges and day - ranges[-1][1] == timedelta(days=1):
-            ranges[-1][1] = day
-        else:
-            ranges.append([day, day])
+
+def _within(events: DataFrame, respondents: DataFrame) -> DataFrame:
+    """Events on the days of any window, as constant ranges that the scan can skip files and partitions by. The exact
+    window is tested where a device's days meet its polls."""
     inside = F.lit(False)
-    for first, last in ranges:
-        start, end = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, last + timedelta(days=1)))
+    days = covered_days(respondents.select("win_start", "win_end"))
+    # RANGES rows at most; as text, because Python has no year 0
+    for r in days.select(*[F.col(c).cast("string") for c in ("first", "end")]).collect():
+        start, end = (F.lit(d).cast("timestamp_ntz") for d in (r["first"], r["end"]))
         inside = inside | ((F.col("event_time") >= start) & (F.col("event_time") < end))
     return events.where(inside)
 

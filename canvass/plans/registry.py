@@ -563,6 +563,16 @@ def catch_up(s: Survey) -> DataFrame:
     return parity.catch_up(s.landed, _copy(s), "ingestion_id").select("ingestion_id")
 
 
+@query
+def copy_differences(s: Survey) -> DataFrame:
+    return parity.copy_differences(s.landed, _copy(s), "ingestion_id")
+
+
+@query
+def differing_ranges(s: Survey) -> DataFrame:
+    return parity.differing_ranges(s.landed, _copy(s), "ingestion_id", leaf=6, step=4)
+
+
 @query
 def id_conflicts(s: Survey) -> DataFrame:
     return parity.conflicts(s.landed, _copy(s), "ingestion_id")

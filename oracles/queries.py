@@ -195,6 +195,9 @@ UNION ALL SELECT ingestion_id, 'late', CAST(1 AS BIGINT) FROM sub WHERE submitte
 _B["copy_parity"] = """SELECT 'submissions' AS object_name, count(*) AS source_count, count(*) FILTER (WHERE k % 100 <> 99) AS copied_count, CASE WHEN count(*) FILTER (WHERE k % 100 = 99 OR k % 1000 = 7) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM sub
 UNION ALL SELECT 'options', count(*), count(*), 'PASS' FROM opt"""
 _B["catch_up"] = "SELECT ingestion_id FROM sub WHERE k % 100 = 99"
+_B["copy_differences"] = "SELECT ingestion_id, CASE WHEN k % 100 = 99 THEN 'missing' ELSE 'changed' END AS kind FROM sub WHERE k % 100 = 99 OR k % 1000 = 7"
+_B["differing_ranges"] = """SELECT k // 64 * 64 AS first_key, k // 64 * 64 + 63 AS last_key, count(*) AS source_count, count(*) FILTER (WHERE k % 100 <> 99) AS copied_count
+ FROM sub GROUP BY k // 64 HAVING count(*) FILTER (WHERE k % 100 = 99 OR k % 1000 = 7) > 0"""
 _B["id_conflicts"] = "SELECT ingestion_id FROM sub WHERE k % 1000 = 7"
 _B["rolled_back"] = "SELECT ingestion_id, k % 1000 = 7 AS changed FROM sub"
 _B["id_faults"] = "SELECT l_orderkey * 10 + l_linenumber AS line_id, count(*) AS row_cnt FROM lineitem GROUP BY 1 HAVING count(*) <> 1"
