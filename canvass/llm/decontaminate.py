@@ -1,17 +1,22 @@
 """Benchmark items inside training texts: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
-1. Every n-gram of an item is a seed. The documents that hold each seed are counted over all documents. Of the seeds that
-   occur, the rarer half of an item's (at least KEPT) are its rare ones, whatever the counts are, so an item that is
-   copied a million times is found all the same.
-2. A text's n-grams are tested against a bitmap of the seeds (fixed size, so it can be sent to all tasks; a larger
+1. Seeds are n words in a row, or n words of which the halves are one word apart; both count as the same n words. So
+   an edited copy has seeds wherever two pairs of words are next to each other or have one word between them: with
+   every third word changed as well as with a word put in or left out after every third one. An item of fewer than n words
+   has one seed, all its words in a row.
+2. The documents that hold each seed are counted over all documents. Of the seeds that occur, the rarer half of an
+   item's (at least KEPT) are its rare ones, whatever the counts are, so an item that is copied a million times is found all the
+   same.
+3. A text's n-grams are tested against a bitmap of the seeds (fixed size, so it can be sent to all tasks; a larger
    benchmark only makes it less selective), and those that pass meet the seeds by an ordinary join. A document and an
-   item are a candidate if they share a rare seed or two seeds: one frequent n-gram alone says nothing.
-3. For each candidate, hits on near diagonals make a region of the text, and the local alignment
+   item are a candidate if they share a rare seed or two seeds. A pair that shares one frequent seed and no other is none: it
+   has no other two pairs of words that close, so it would need matches in runs of at most three words with two
+   edits or more after each, which score 0.4 at most.
+4. For each candidate, hits on near diagonals make a region of the text, and the local alignment
    of the item with the region is scored: match 2, mismatch and gap -1, divided by the score of an exact copy.
 
-Words are compared in lower case, without punctuation around them. Rows and items without text match nothing, as do
-items of fewer than n words. NULL ids stay NULL. Equal rows are found once; rows that share an id but not the text are
-searched each.
+Words are compared in lower case, without punctuation around them. Rows and items without text match nothing. NULL ids
+stay NULL. Equal rows are found once; rows that share an id but not the text are searched each.
 """
 
 from __future__ import annotations
@@ -40,21 +45,50 @@ def _hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return starts, words.hashes(pc.utf8_trim(flat, AROUND)) if len(flat) else np.zeros(0, U)
 
 
+def _seeds(starts: np.ndarray, h: np.ndarray, n: int, short: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the seeds of all rows: n words, in a row or with one word between their halves; and, for the
+    lengths in `short`, that many words in a row."""
+    places, found = [], []
+    half = n // 2
+    left, right = words.grams(h, half), words.grams(h, n - half)
+    for gap in (0, 1):
+        at = np.flatnonzero(words.whole(starts, n + gap))
+        places.append(at)
+        found.append(words.mixed(left[at] * U(0xD6E8FEB86659FD93) + right[at + half + gap]))
+    for k in short:
+        at = np.flatnonzero(words.whole(starts, k))
+        places.append(at)
+        found.append(words.grams(h, k, 1)[at])
+    return np.concatenate(places), np.concatenate(found)
+
+
 def _seed_rows(n: int):
+    """The seeds of items, with the length of those that are shorter than n words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, 2):
                 starts, h = _hashes(part.column(2))
-                at = np.flatnonzero(words.whole(starts, n))
-                row = words.rows_of(starts)[at]
+                at, seed = _seeds(starts, h, n, tuple(range(1, n)))
+                row, size = words.rows_of(starts)[at], np.diff(starts)
+                # only whole short items are seeds of their own
+                length = np.zeros(len(at), np.int64)
+                done = len(at) - sum(int(words.whole(starts, k).sum()) for k in range(1, n))
+                for k in range(1, n):
+                    count = int(words.whole(starts, k).sum())
+                    length[done : done + count] = k
+                    done += count
+                keep = (length == 0) | (length == size[row])
+                at, seed, row, length = at[keep], seed[keep], row[keep], length[keep]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(row)),
                         part.column(1).take(pa.array(row)),
-                        pa.array(words.grams(h, n)[at].view(np.int64)),
+                        pa.array(seed.view(np.int64)),
                         pa.array(at - starts[row]),
+                        pa.array(length),
                     ],
-                    ["item_id", "item", "seed", "item_at"],
+                    ["item_id", "item", "seed", "item_at", "short"],
                 )
 
     return run
@@ -94,24 +128,27 @@ def bitmap(spark: SparkSession, seeds: DataFrame):
     return spark.sparkContext.broadcast(out.reshape(-1))
 
 
-def _found(texts: pa.Array, n: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of the rows, and row, seed and place of each n-gram that may be a seed."""
+def _found(
+    texts: pa.Array, n: int, short: tuple[int, ...], bits: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the rows, and row, seed and place of each n-gram that may be a seed, by row."""
     starts, h = _hashes(texts)
-    at = np.flatnonzero(words.whole(starts, n))
-    seed = words.grams(h, n)[at]
+    at, seed = _seeds(starts, h, n, short)
     hit = bits[_slots(seed)]
     at, seed = at[hit], seed[hit]
+    order = np.argsort(at, kind="stable")
+    at, seed = at[order], seed[order]
     return starts, words.rows_of(starts)[at], seed, at
 
 
-def _frequencies(n: int, packed):
+def _frequencies(n: int, short: tuple[int, ...], packed):
     """(seed, docs): documents per seed, counted in each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
             for part in pieces(batch, 0):
-                _, row, seed, _ = _found(part.column(0), n, bits)
+                _, row, seed, _ = _found(part.column(0), n, short, bits)
                 order = np.lexsort((row, seed))
                 row, seed = row[order], seed[order]
                 new = np.concatenate(([True], (seed[1:] != seed[:-1]) | (row[1:] != row[:-1])))[: len(seed)]
@@ -121,14 +158,14 @@ def _frequencies(n: int, packed):
     return run
 
 
-def _hit_rows(n: int, packed, packed_rare):
+def _hit_rows(n: int, short: tuple[int, ...], packed, packed_rare):
     """Texts that may be candidates, with the seeds they may hold and their places: a rare seed, or two seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, rare = (np.unpackbits(x.value).astype(bool) for x in (packed, packed_rare))
         for batch in batches:
             for part in pieces(batch, 2):
-                starts, row, seed, at = _found(part.column(2), n, bits)
+                starts, row, seed, at = _found(part.column(2), n, short, bits)
                 order = np.lexsort((seed, row))
                 again = (seed[order][1:] == seed[order][:-1]) & (row[order][1:] == row[order][:-1])
                 distinct = np.bincount(row, minlength=part.num_rows) - np.bincount(row[order][1:][again], minlength=part.num_rows)
@@ -210,10 +247,12 @@ def found_items(
         F.col(f"`{item_col}`").cast("long").alias("item_id"), F.xxhash64(item_text).alias("item"), item_text.alias("text")
     ).filter("text is not null").dropDuplicates(["item_id", "item"])
     items = written(items, "benchmark-items")
-    seeds = written(items.mapInArrow(_seed_rows(n), "item_id long, item long, seed long, item_at long"), "benchmark-seeds")
+    seeds = written(items.mapInArrow(_seed_rows(n), "item_id long, item long, seed long, item_at long, short long"), "benchmark-seeds")
+    # lengths below n that some item has
+    short = tuple(sorted(r.short for r in seeds.filter("short > 0").select("short").distinct().collect()))
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), text.alias("text"))
-    counted = rows.select("text").mapInArrow(_frequencies(n, bitmap(spark, seeds)), "seed long, docs long")
+    counted = rows.select("text").mapInArrow(_frequencies(n, short, bitmap(spark, seeds)), "seed long, docs long")
     counted = counted.groupBy("seed").agg(F.sum("docs").alias("docs"))
     by_item = Window.partitionBy("item_id", "item")
     ranked = (
@@ -225,7 +264,7 @@ def found_items(
     present = written(ranked.select("item_id", "item", "seed", "item_at", "rare"), "benchmark-present")
     schema = "doc_id long, doc long, text string, seeds array<long>, places array<long>"
     maps = bitmap(spark, present), bitmap(spark, present.filter("rare"))
-    hits = written(rows.mapInArrow(_hit_rows(n, *maps), schema), "benchmark-hits")
+    hits = written(rows.mapInArrow(_hit_rows(n, short, *maps), schema), "benchmark-hits")
     pairs = (
         hits.select("doc_id", "doc", F.explode(F.arrays_zip("seeds", "places")).alias("hit"))
         .select("doc_id", "doc", F.col("hit.seeds").alias("seed"), (F.col("hit.places")).alias("at"))
