@@ -85,21 +85,36 @@ def report_tally(
     )
 
 
-def tally_documents(tally: DataFrame, parts: int) -> DataFrame:
-    """The tally nested per question as JSON: [{answer, count, pct}, …] by descending count.
+#: Buckets that the answers of a question are dealt out to by their digest.
+DIGEST_BUCKETS = 4096
 
-    Every question's answers are dealt out to `parts` documents by a digest of the answer, so that the documents of a
-    free-text question can be kept small; documents without answers are left out.
+
+def tally_documents(tally: DataFrame, size: int) -> DataFrame:
+    """The tally nested per question as JSON: [{answer, count, pct}, …] by descending count, `size` answers a document.
+
+    A question's answers are numbered by digest and text: rank inside a bucket of the digest plus the bucket's offset.
+    So a document has at most `size` answers however many the question has, and no task sees all of them. Documents without
+    answers are left out.
     """
+    group = ["poll_id", "question"]
     digest = F.conv(F.substring(F.md5(F.coalesce("answer", F.lit(""))), 1, 7), 16, 10).cast("int")
-    tally = tally.withColumn("part", digest % parts)
+    rows = tally.withColumn("bucket", digest % DIGEST_BUCKETS)
+    # at most DIGEST_BUCKETS rows a question
+    sizes = rows.groupBy(*group, "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = offsets.toDF("of_poll", "of_question", "of_bucket", "offset")
+    rank = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("answer"))
+    same = F.expr("poll_id <=> of_poll AND question <=> of_question AND bucket = of_bucket")
+    rows = rows.withColumn("rank", rank).join(offsets, same)
+    rows = rows.withColumn("part", F.floor((F.col("offset") + F.col("rank") - 1) / size).cast("int"))
     entry = F.struct(
         (-F.col("response_count")).alias("o"),
         F.col("answer").alias("answer"),
         F.col("response_count").alias("count"),
         F.col("pct").alias("pct"),
     )
-    return tally.groupBy("poll_id", "total_responses", "question", "part").agg(
+    return rows.groupBy("poll_id", "total_responses", "question", "part").agg(
         F.to_json(
             F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["answer"], e["count"], e["pct"]))
         ).alias("answers")

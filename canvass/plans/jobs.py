@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from canvass.sources.tables import (
     append_rows,
     path_exists,
     read_table,
+    replace_keys,
     replace_partitions,
     table_exists,
     write_loads,
@@ -96,11 +99,29 @@ def store_replies(store: Store, replies: DataFrame, source: str) -> DataFrame:
 
 
 def refresh_identity(store: Store, events: DataFrame, poll_id: str | None = None, pad_days: int = 1) -> None:
-    """Replace the identity rows of one poll (or of every poll with submissions)."""
+    """Replace the identity rows of one poll, which has none any more if its submissions are gone, or of every poll with
+    submissions."""
     if poll_id is not None:
         require_poll_id(poll_id)
-    rows = identity.respondent_identity(store.responses(), events, poll_id, pad_days)
-    replace_partitions(rows.withColumn("resolved_at", _now()), store.path("identity"), "poll_id")
+    rows = identity.respondent_identity(store.responses(), events, poll_id, pad_days).withColumn("resolved_at", _now())
+    if poll_id is None:
+        replace_partitions(rows, store.path("identity"), "poll_id")
+    else:
+        replace_keys(rows, store.path("identity"), "poll_id", [poll_id])
+
+
+def catch_up_until_equal(source: Callable[[], DataFrame], store: Store, name: str, key: str, rounds: int) -> int:
+    """Copy rows that the source has and the stored copy lacks, again until none are missing; the source may grow
+    meanwhile. Returns the rounds that copied rows. More than `rounds` of them is an error: the copy doesn't come closer."""
+    for n in range(rounds + 1):
+        rows = source()
+        if path_exists(store.spark, store.path(name)):
+            rows = parity.catch_up(rows, store.partitioned(name).drop("load"), key)
+        missing = written(rows, "missing")
+        if missing.isEmpty():
+            return n
+        append_rows(missing, store.path(name))
+    raise RuntimeError(f"{name}: rows still missing after {rounds} rounds")
 
 
 def rebuild_demographics(store: Store, email: DataFrame, person: DataFrame, place: DataFrame) -> None:

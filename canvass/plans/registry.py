@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,13 @@ from canvass.operators import (
     tally,
     upsert,
 )
-from canvass.plans import streams
-from canvass.session import written
+from canvass.plans import jobs, streams
+from canvass.session import shared_dir, written
 from canvass.sources import adapter_items as items
-from canvass.sources import definitions
+from canvass.sources import commits, definitions
 from canvass.sources import responses as source
 from canvass.sources.adapter import Survey
+from canvass.sources.tables import append_rows
 
 NOW = "03/06/2025, 08:00:00"
 QUERIES = {}
@@ -127,7 +130,7 @@ def response_tally(s: Survey) -> DataFrame:
 
 @query
 def tally_documents(s: Survey) -> DataFrame:
-    return tally.tally_documents(response_tally(s), parts=4)
+    return tally.tally_documents(response_tally(s), size=10)
 
 
 @query
@@ -591,6 +594,71 @@ def rolled_back(s: Survey) -> DataFrame:
     return rows.select("ingestion_id", F.col("raw").endswith(" ").alias("changed"))
 
 
+def _committed(s: Survey):
+    """Questions and options committed together, then changed together: no typed answers, and another wording."""
+    tables = commits.Tables(s.spark, shared_dir(s.spark, "commits"))
+    at = [datetime(2024, m, 1) for m in (1, 2)]
+    tables.commit({"options": s.options, "questions": s.questions}, at=at[0])
+    changed = s.questions.withColumn("question_text", F.concat("question_text", F.lit(" (new)")))
+    tables.commit({"options": s.options.where("option_source = 'catalog'"), "questions": changed}, at=at[1])
+    return tables, at
+
+
+@query
+def options_as_of(s: Survey) -> DataFrame:
+    """Options of the questions as they stood in January and in February."""
+    tables, at = _committed(s)
+    found = []
+    for when in at:
+        state = tables.as_of(when + timedelta(days=10))
+        rows = tables.read("options", state).join(tables.read("questions", state), ["poll_id", "question_key"])
+        found.append(rows.select(F.lit(str(when.date())).alias("as_of"), "option_id", "question_text"))
+    return found[0].union(found[1])
+
+
+@query
+def rolled_back_tables(s: Survey) -> DataFrame:
+    """Both tables after a rollback to January, with an option that was added meanwhile to neither."""
+    tables, at = _committed(s)
+    tables.rollback(tables.as_of(at[0]))
+    options, questions = tables.read("options"), tables.read("questions")
+    rows = options.select(F.lit("options").alias("name"), "poll_id", "question_key", F.col("option_value").alias("value"))
+    return rows.union(questions.select(F.lit("questions"), "poll_id", "question_key", "question_text"))
+
+
+@query
+def refreshed_identity(s: Survey) -> DataFrame:
+    """Stored identity rows after two polls were refreshed: one with its submissions, one whose submissions are gone."""
+    store = jobs.Store(s.spark, shared_dir(s.spark, "store"))
+    append_rows(s.responses, store.path("responses"))
+    jobs.refresh_identity(store, s.events)
+    left = jobs.Store(s.spark, store.root)
+    left.responses = lambda: s.responses.where("poll_id <> 'poll_3'")
+    for poll in ("poll_2", "poll_3"):
+        jobs.refresh_identity(left, s.events, poll)
+    return store.partitioned("identity").select("ingestion_id", "poll_id", "device_id", "hem", "hem_source", "publication_name")
+
+
+@query
+def synced_catalog(s: Survey) -> DataFrame:
+    """Options after the catalog was synced twice, from all definitions: ids of the new range, none of them twice."""
+    store = jobs.Store(s.spark, shared_dir(s.spark, "store"))
+    for _ in range(2):
+        jobs.sync_catalog(store, items.catalog_items(s))
+    options = store.read("options").join(store.read("questions").select("poll_id", "question_key", "question_type"), ["poll_id", "question_key"])
+    low = options.agg(F.min("option_id")).scalar()
+    return options.select("poll_id", "question_key", "question_type", "option_value", "sort_order", (F.col("option_id") - low < options.agg(F.count("*")).scalar()).alias("dense"))
+
+
+@query
+def caught_up(s: Survey) -> DataFrame:
+    """Documents of a copy that was caught up until none was missing; conflicting ones stay as they were copied."""
+    store = jobs.Store(s.spark, shared_dir(s.spark, "store"))
+    append_rows(_copy(s), store.path("copied"))
+    jobs.catch_up_until_equal(lambda: s.landed, store, "copied", "ingestion_id", rounds=3)
+    return store.partitioned("copied").select("ingestion_id", F.col("raw").endswith(" ").alias("changed"))
+
+
 @query
 def demographics_checks(s: Survey) -> DataFrame:
     who = written(respondent_identity(s), "identity")

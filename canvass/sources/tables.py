@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.session import written
 
-def _folder(spark: SparkSession, path: str):
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it knows it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds; none if it isn't there."""
-    fs, folder = _folder(spark, path)
+    fs, folder = file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
 def complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to the folder has ended."""
-    fs, folder = _folder(spark, f"{path}/_SUCCESS")
+    fs, folder = file_system(spark, f"{path}/_SUCCESS")
     return fs.exists(folder)
 
 
@@ -81,6 +84,25 @@ def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     )
 
 
+def replace_keys(df: DataFrame, path: str, key: str, values: list[str]) -> None:
+    """Replace the partitions of the given keys: those without rows in `df` go. Rows of other keys are an error.
+
+    New rows are in place before anything goes, so a run that is cut short leaves old or new rows of a key, never none
+    that should be there; run again, it ends the same.
+    """
+    rows = written(df, "replaced-keys")
+    found = {r[0] for r in rows.select(key).distinct().limit(len(values) + 1).collect()}
+    if found - set(values):
+        raise ValueError(f"rows of other keys than those to replace: {sorted(map(str, found - set(values)))}")
+    if found:
+        replace_partitions(rows, path, key)
+    for value in sorted(set(values) - found):
+        for folder in names(df.sparkSession, path):
+            if folder == f"{key}={value}":
+                fs, place = file_system(df.sparkSession, f"{path}/{folder}")
+                fs.delete(place, True)
+
+
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
     """Save a table bucketed and sorted by `key`, so that repeated joins on it need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)

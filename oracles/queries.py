@@ -26,9 +26,10 @@ _B["device_attributes"] = """SELECT DISTINCT e.device_id, t.bucket, coalesce(t.t
 _HASH = "CAST('0x' || substr(md5({}), 1, 7) AS INTEGER)"
 _PCT = "CAST(floor((n * 2000 + total) / (2 * total)) AS DOUBLE) / 10"
 _B["response_tally"] = f"SELECT poll_id, total AS total_responses, question, answer, n AS response_count, {_PCT} AS pct FROM tal"
-_B["tally_documents"] = f"""SELECT poll_id, total AS total_responses, question, {_HASH.format("answer")} % 4 AS part,
+_B["tally_documents"] = f""", dealt AS (SELECT *, CAST((row_number() OVER (PARTITION BY poll_id, question ORDER BY {_HASH.format("answer")} % 4096, answer) - 1) // 10 AS INTEGER) AS part FROM tal)
+SELECT poll_id, total AS total_responses, question, part,
  '[' || string_agg('{{"answer":' || CAST(to_json(answer) AS VARCHAR) || ',"count":' || n || ',"pct":' || CAST({_PCT} AS VARCHAR) || '}}', ',' ORDER BY n DESC, answer) || ']' AS answers
- FROM tal GROUP BY ALL"""
+ FROM dealt GROUP BY ALL"""
 _B["report_tally"] = "SELECT poll_id, total AS total_responses, question_key, question, CAST(q_order AS INTEGER) AS question_order, answer, n AS response_count FROM tal"
 _PAIRS = """, a AS (SELECT * FROM el WHERE kind = 'string'),
  pairs AS (SELECT a1.poll_id, a1.question_key AS q1_key, a1.v AS q1_option, a2.question_key AS q2_key, a2.v AS q2_option, count(*) AS co_count
@@ -189,6 +190,14 @@ _B["live_option_counts"] = _VOTES + "SELECT * FROM vc"
 _B["live_option_stats"] = _VOTES + """SELECT poll_id, question_key, option_value AS label, votes, CAST(floor((votes * 200 + t) / (2 * t)) AS BIGINT) AS percentage
  FROM (SELECT *, CAST(sum(votes) OVER (PARTITION BY poll_id, question_key) AS BIGINT) AS t FROM vc)"""
 
+_B["options_as_of"] = """SELECT '2024-01-01' AS as_of, option_id, question_text FROM opt JOIN que USING (poll_id, question_key)
+UNION ALL SELECT '2024-02-01', option_id, question_text || ' (new)' FROM opt JOIN que USING (poll_id, question_key) WHERE option_source = 'catalog'"""
+_B["rolled_back_tables"] = """SELECT 'options' AS name, poll_id, question_key, option_value AS value FROM opt
+UNION ALL SELECT 'questions', poll_id, question_key, question_text FROM que"""
+_B["refreshed_identity"] = "SELECT ingestion_id, poll_id, device_id, hem, hem_source, publication_name FROM idn WHERE poll_id <> 'poll_3'"
+_B["caught_up"] = "SELECT ingestion_id, k % 1000 = 7 AS changed FROM sub"
+_B["synced_catalog"] = f"""{_ITEM}, co AS ({_B["catalog_options"].removeprefix(_ITEM)}), cq AS ({_B["catalog_questions"].removeprefix(_ITEM)})
+SELECT DISTINCT poll_id, question_key, question_type, option_value, sort_order, true AS dense FROM co JOIN cq USING (poll_id, question_key)"""
 _B["delivered_once"] = """SELECT ingestion_id AS delivery_id, 'accepted' AS place, CAST(1 AS BIGINT) AS n FROM sub WHERE submitted_at >= DATE '2024-01-10'
 UNION ALL SELECT ingestion_id, 'late', CAST(1 AS BIGINT) FROM sub WHERE submitted_at < DATE '2024-01-10'
  OR k % 10 = 4 AND submitted_at < (SELECT max(CAST(submitted_at AS DATE)) - 14 FROM sub)"""

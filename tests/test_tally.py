@@ -38,13 +38,28 @@ def test_order_is_smallest_position_of_any_kind(spark, submit, options):
 def test_documents(spark, submit, options):
     rows = submit({"answers": [("a", "x")]}, {"answers": [("a", "y")]}, {"answers": [("a", "y")]})
     counted = tally.response_tally(rows, questions_of(spark), options((1, "a", "x")))
-    doc = tally.tally_documents(counted, parts=1).first()
+    doc = tally.tally_documents(counted, size=10).first()
     assert [e["answer"] for e in json.loads(doc["answers"])] == ["y", "x"]
-    parts = tally.tally_documents(counted, parts=50).collect()
-    assert {r["part"] for r in parts} <= set(range(50)) and len(parts) == 2
+    parts = tally.tally_documents(counted, size=1).collect()
+    assert sorted(r["part"] for r in parts) == [0, 1]
     assert sorted(e["answer"] for r in parts for e in json.loads(r["answers"])) == ["x", "y"]
 
 
+def test_documents_stay_small(spark):
+    """A free-text question of many answers, one with few, and labels that several values share."""
+    rows = [("p", 9, "free", f"a{i}", 1 + i % 3, 0.1) for i in range(2500)] + [("p", 9, "few", "x", 2, 0.2), ("q", 1, "free", "x", 1, 0.3)]
+    rows += [("q", 1, "same", "l", i, 0.1) for i in range(1, 6)] + [("q", 1, None, None, 1, 0.1)]
+    df = spark.createDataFrame(rows, "poll_id string, total_responses bigint, question string, answer string, response_count bigint, pct double")
+    got = tally.tally_documents(df, size=7).collect()
+    sizes = {}
+    for r in got:
+        sizes.setdefault((r["poll_id"], r["question"]), []).append((r["part"], len(json.loads(r["answers"]))))
+    assert sorted(sizes["p", "free"]) == [(k, 7) for k in range(357)] + [(357, 1)]
+    assert sizes["p", "few"] == [(0, 1)] and sizes["q", "same"] == [(0, 5)] and sizes["q", None] == [(0, 1)]
+    counts = [e["count"] for e in json.loads(next(r["answers"] for r in got if r["part"] == 3))]
+    assert counts == sorted(counts, reverse=True)
+
+
 def test_patterns(submit, options):
     rows = submit(
         {"answers": [("a", "1"), ("b", "2"), ("a", "3"), ("m", ["9"])]},
