@@ -238,7 +238,8 @@ def quality_rules(
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATS * F.col("n_words"))
     size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)).cast("double"))).cast("int")
     measured = written(measured.withColumn("base_failed", failed).withColumn("size", size), "fertility")
-    limits = bands(measured, reach, least).withColumnsRenamed({"group": "of_group", "size": "of_size"})
+    # a row per group and length class: as a table of known size it goes to the texts, not they to it
+    limits = written(bands(measured, reach, least), "fertility-bands").withColumnsRenamed({"group": "of_group", "size": "of_size"})
     rows = grouped(measured, least)
     met = rows.join(limits, (F.col("group") == F.col("of_group")) & (F.col("size") == F.col("of_size")), "left")
     inside = F.lit(True)

@@ -55,8 +55,8 @@ def sets(texts: pa.Array, n: int) -> list[np.ndarray]:
 
 def signature(found: np.ndarray) -> int:
     """One number for a set; equal sets have equal numbers."""
-    total = words.mixed(found).sum(dtype=U) + U(len(found)) * U(0x9E3779B97F4A7C15)
-    return int(words.mixed(np.array([total], U)).view(np.int64)[0])
+    total = int(words.mixed(found).sum(dtype=U)) + len(found) * 0x9E3779B97F4A7C15
+    return int(words.mixed(np.array([total % 2**64], U)).view(np.int64)[0])
 
 
 def _digest_rows(n: int):
@@ -249,7 +249,10 @@ class NearCopies:
         )
         stars = best.select(F.col("sig").alias("a"), F.col("best.centre").alias("b"))
         links = self._verify(stars)
-        return links.union(self._verify(self._open_pairs(components(links))))
+        # star pairs that were no links would be met again
+        tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = self._open_pairs(components(links)).join(tried, ["a", "b"], "left_anti")
+        return links.union(self._verify(rest))
 
     def _open_pairs(self, parts: DataFrame) -> DataFrame:
         """Pairs from different components that share a prefix n-gram and pass the filters; each pair once."""

@@ -6,9 +6,9 @@ site and line the pages that contain it are counted, once per page; lines on mor
 on `least` pages at least, are dropped wherever they stand on that site.
 
 Lines are counted by two hashes (96 bits), combined in the map tasks first. A page has finitely many lines, so a site
-has at most (its mean number of lines per page) / ratio dropped lines: they travel as one list per site, spread over
-`salts` keys, so that the pages of a large site do not meet in one task. NULL html has no lines. Equal rows count as
-pages of their own.
+has at most (its mean number of lines per page) / ratio dropped lines: they travel as one list per site, once for each
+`together` pages of the site, so that about so many pages meet in one task however large the site is. NULL html has no
+lines. Equal rows count as pages of their own.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.llm.common import written
+
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 #: Removed with what they enclose, in turn.
 HIDDEN = (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->")
@@ -24,7 +26,7 @@ BLOCK = (
     r"main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
 )
 TAG = r"<[^>]*>"
-RATIO, LEAST, SALTS = 0.3, 3, 16
+RATIO, LEAST, TOGETHER = 0.3, 3, 4000
 
 
 def page_lines(html: Column) -> Column:
@@ -39,35 +41,42 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate(lines: DataFrame, ratio: float, least: int) -> DataFrame:
-    """One row per site with lines to drop: site and their hashes. `lines`: site and the lines of each page."""
-    totals = lines.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+def boilerplate(lines: DataFrame, totals: DataFrame, ratio: float, least: int) -> DataFrame:
+    """One row per site with lines to drop: site, their hashes, and the site's salts. `lines`: site and the lines of each
+    page; `totals`: pages and salts of each site."""
     hashes = F.array_distinct(F.transform("lines", _hash))
     counts = lines.select("site", F.explode(hashes).alias("line")).groupBy("site", "line").agg(F.count(F.lit(1)).alias("on"))
     often = counts.filter(F.col("on") >= least).join(totals, "site").filter(F.col("on") > ratio * F.col("pages"))
-    return often.groupBy("site").agg(F.collect_list("line").alias("drop"))
+    return often.groupBy("site", "salts").agg(F.collect_list("line").alias("drop"))
 
 
 def line_dedup(
     pages: DataFrame,
     ratio: float = RATIO,
     least: int = LEAST,
-    salts: int = SALTS,
+    together: int = TOGETHER,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
 ) -> DataFrame:
     """Per page: page_id, host, n_lines, n_removed, and the lines kept."""
     url, html = F.col(f"`{url_col}`"), F.col(f"`{html_col}`")
+    site = F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit(""))).alias("site")
+    totals = pages.select(site).groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    totals = written(totals.withColumn("salts", F.ceil(F.col("pages") / together)), "site-pages")
     lines = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"),
-        F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit(""))).alias("site"),
+        site,
         page_lines(html).alias("lines"),
-        F.pmod(F.xxhash64(html, url), F.lit(salts)).alias("salt"),
+        F.xxhash64(html, url, f"`{id_col}`").alias("spread"),
     )
-    drop = boilerplate(lines.select("site", "lines"), ratio, least)
-    drop = drop.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
-    met = lines.join(drop, ["site", "salt"], "left")
+    drop = boilerplate(lines.select("site", "lines"), totals, ratio, least)
+    drop = drop.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
+    # sites of one salt need none: the others are few
+    large = totals.filter("salts > 1").select(F.col("site").alias("large"), "salts")
+    lines = lines.join(large, F.col("site") == F.col("large"), "left")
+    lines = lines.withColumn("salt", F.pmod("spread", F.coalesce("salts", F.lit(1)).cast("long")))
+    met = lines.select("page_id", "site", "lines", "salt").join(drop, ["site", "salt"], "left")
     kept = F.filter("lines", lambda x: ~F.coalesce(F.array_contains("drop", _hash(x)), F.lit(False)))
     return met.withColumn("kept", kept).select(
         "page_id",

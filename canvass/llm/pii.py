@@ -42,7 +42,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]*")
 _URL = re.compile(r"[^\s\"'<>\\^`{|}]+")
 _CUE_GAP = re.compile(r"(?:\s*(?:number|no\.?|nr\.?|num\.?|n°|#))?\s{0,3}[:=#.]?\s{0,3}")
-_NUMBER = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{1,4}){2,8}(?![A-Za-z0-9])|[0-9](?:[ -]?[0-9]){5,33}(?![A-Za-z0-9])")
+_LETTERED = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]+)*+")
+_DIGITS = re.compile(r"[0-9](?:[ -]?[0-9]){5,33}(?![A-Za-z0-9])")
+#: An account number with letters has at most so many groups of four characters after its first four.
+GROUPS = 8
 
 
 def _automaton():
@@ -104,13 +107,35 @@ def _iban(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _number(text: str, at: int) -> int:
+    """End of the account number at a place, or that place itself. One with letters: as many whole runs of capitals and
+    digits, one space between them, as make GROUPS groups of at most four; nothing is tried twice."""
+    if m := _DIGITS.match(text, at):
+        return m.end()
+    # more characters than that are too many groups in any case
+    m = _LETTERED.match(text, at, at + 6 + 10 * GROUPS)
+    if not m:
+        return at
+    end, start, groups, size = at, at + 4, 0, 0
+    for run in text[start : m.end()].split(" "):
+        groups, size = groups - -len(run) // 4, size + len(run)
+        start += len(run)
+        if groups > GROUPS:
+            break
+        # two characters at least, and no letter or digit after them
+        if size > 1 and not (text[start : start + 1].isascii() and text[start : start + 1].isalnum()):
+            end = start
+        start += 1
+    return end
+
+
 def _account(text: str, after: int) -> tuple[int, int] | None:
     gap = _CUE_GAP.match(text, after)
-    m = _NUMBER.match(text, gap.end())
-    if not m or (gap.end() == after):
+    start = gap.end()
+    if start == after or (end := _number(text, start)) == start:
         return None
-    plain = m[0].replace(" ", "")
-    return m.span() if not plain[0].isalpha() or (15 <= len(plain) <= 34 and _iban(plain)) else None
+    plain = text[start:end].replace(" ", "")
+    return (start, end) if not plain[0].isalpha() or (15 <= len(plain) <= 34 and _iban(plain)) else None
 
 
 def find(text: str, automaton) -> list[tuple[int, str, int]]:

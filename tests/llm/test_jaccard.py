@@ -98,3 +98,21 @@ def test_given_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert got(docs.repartition(5)) == brute(rows)
+
+
+def test_pairs_are_verified_once(documents, monkeypatch):
+    """Families whose members are partly beyond the threshold: pairs that fail as a star are not tried again."""
+    seen, verify = [], jaccard.NearCopies._verify
+
+    def record(self, pairs):
+        seen.extend(tuple(sorted(r)) for r in pairs.select("a", "b").collect())
+        return verify(self, pairs)
+
+    monkeypatch.setattr(jaccard.NearCopies, "_verify", record)
+    rnd = random.Random(9)
+    rows = []
+    for size in (150, 300):
+        base = [f"{size}w{i}" for i in range(size)]
+        rows += [(len(rows) + i, edited(rnd, base, 9)) for i in range(40)]
+    assert got(documents(*rows)) == brute(rows)
+    assert len(seen) == len(set(seen)) and len(seen) > 20

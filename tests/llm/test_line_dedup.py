@@ -26,6 +26,14 @@ def test_repeats_on_one_page_count_once(spark):
     assert {r.n_removed for r in line_dedup(pages(spark, rows)).collect()} == {0}
 
 
+def test_large_sites_are_spread(spark):
+    """However many keys a site's pages go to, the result is the same; small sites keep one."""
+    rows = [page(i, "Menu", f"text {i}", "Rare" if i < 3 else f"own {i}") for i in range(30)] + [page(100 + i, f"x{i}", host="b.example") for i in range(2)]
+    want = sorted(tuple(r) for r in digest(line_dedup(pages(spark, rows))).collect())
+    for together in (1, 4, 29):
+        assert sorted(tuple(r) for r in digest(line_dedup(pages(spark, rows), together=together)).collect()) == want
+
+
 def test_extraction(spark):
     html = "<HEAD><title>T</title><script>var a='<p>no</p>'</script><style>p{}</style></head><!-- <p>no</p> --><p>one <b>two</b><br>three\r\n four <div></div>"
     (row,) = line_dedup(pages(spark, [(1, "HTTP://A.B/c", html)])).collect()

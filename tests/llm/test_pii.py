@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -96,3 +97,23 @@ def test_random_mixture():
     for _ in range(3000):
         text = "".join(rnd.choice(bits) for _ in range(rnd.randrange(12)))
         assert base(text) == brute(text), text
+
+
+OLD_NUMBER = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{1,4}){2,8}(?![A-Za-z0-9])|[0-9](?:[ -]?[0-9]){5,33}(?![A-Za-z0-9])")
+
+
+def test_account_numbers_as_by_one_expression():
+    rnd = random.Random(4)
+    for _ in range(30_000):
+        text = rnd.choice(["AB12", "DE89", "12", "A1"]) + "".join(rnd.choice(["A", "B7", "1234", " ", " ", "a", "-", "CDEF", "  "]) for _ in range(rnd.randrange(14)))
+        m = OLD_NUMBER.match(text)
+        want = m.end() if m else 0
+        got = pii._number(text, 0)
+        assert got == want, text
+
+
+def test_hostile_account_cues_take_linear_time():
+    text = "IBAN: AB12" + "A" * 40 + "a " + "IBAN: AB12 " + "AAAA " * 30
+    begin = time.perf_counter()
+    pii.find(text * 5000, pii._automaton())
+    assert time.perf_counter() - begin < 20
