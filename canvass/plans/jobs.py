@@ -14,6 +14,7 @@ from canvass.sources import definitions, schemas
 from canvass.sources.responses import stage
 from canvass.sources.tables import (
     append_rows,
+    bucketed,
     path_exists,
     read_table,
     replace_keys,
@@ -124,6 +125,21 @@ def catch_up_until_equal(source: Callable[[], DataFrame], store: Store, name: st
     raise RuntimeError(f"{name}: rows still missing after {rounds} rounds")
 
 
+#: Key that each person table is bucketed by.
+PERSON_KEYS = {"email": "sha256", "person": "id", "place": "id"}
+
+
+def cluster_persons(store: Store, tables: dict[str, DataFrame], prefix: str, buckets: int) -> None:
+    """Store the person tables bucketed by the key they are joined on: e-mail by hash, the others by person. Done once a
+    load; every rebuild after that shuffles the respondents, never these tables."""
+    for name, key in PERSON_KEYS.items():
+        bucketed(tables[name], f"{prefix}_{name}", key, buckets, store.path(f"{prefix}/{name}"))
+
+
+def clustered_persons(store: Store, prefix: str) -> dict[str, DataFrame]:
+    return {name: store.spark.table(f"{prefix}_{name}") for name in PERSON_KEYS}
+
+
 def rebuild_demographics(store: Store, email: DataFrame, person: DataFrame, place: DataFrame) -> None:
     write_loads(
         identity.respondent_demographics(store.partitioned("identity"), email, person, place), store.path("demographics")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -470,6 +471,14 @@ def respondent_demographics(s: Survey) -> DataFrame:
     return _demographics(s, respondent_identity(s))
 
 
+@query
+def clustered_demographics(s: Survey) -> DataFrame:
+    """Demographics from person tables that are bucketed by the keys of the joins."""
+    store, prefix = jobs.Store(s.spark, shared_dir(s.spark, "store")), f"persons_{uuid.uuid4().hex}"
+    jobs.cluster_persons(store, {"email": s.email, "person": s.person, "place": s.place}, prefix, buckets=8)
+    return identity.respondent_demographics(respondent_identity(s), **jobs.clustered_persons(store, prefix))
+
+
 @query
 def demographics_coverage(s: Survey) -> DataFrame:
     return identity.demographics_coverage(respondent_demographics(s))

@@ -51,8 +51,10 @@ class Survey:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """A table for work that is heavy per row: dealt out by its key, as the given files are few and large."""
-        return self.table(name).repartition(key)
+        """A table for work that is heavy per row: dealt out by its key, as the given files are few and large. With a
+        number, as adaptive execution would put so little data back into one task."""
+        tasks = max(self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return self.table(name).repartition(tasks, key)
 
     @cached_property
     def base(self) -> DataFrame:

@@ -103,6 +103,8 @@ def replace_keys(df: DataFrame, path: str, key: str, values: list[str]) -> None:
                 fs.delete(place, True)
 
 
-def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
-    """Save a table bucketed and sorted by `key`, so that repeated joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+def bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save a table bucketed and sorted by `key`, so that repeated joins on it need no shuffle. Its rows are dealt out by
+    the same key first, so a bucket is one file."""
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)

@@ -128,6 +128,7 @@ _B["identity_candidates"] = "SELECT * FROM cand"
 _B["respondent_identity"] = "SELECT * FROM idn"
 _B["identity_summary"] = "SELECT poll_id, hem_source, count(*) AS row_cnt, count(hem) AS resolved FROM idn GROUP BY poll_id, hem_source"
 _B["respondent_demographics"] = "SELECT * FROM dem"
+_B["clustered_demographics"] = "SELECT * FROM dem"
 _B["demographics_coverage"] = "SELECT count(*) AS hems, count(age_band) AS with_age, count(income_hh) AS with_income, count(state) AS with_state FROM dem"
 _B["audience_profile"] = """, hems AS (SELECT DISTINCT poll_id, lower(user_id) AS hem FROM pev WHERE user_id IS NOT NULL UNION SELECT DISTINCT poll_id, lower(external_id) FROM sub WHERE external_id <> ''),
  ids AS (SELECT DISTINCT h.poll_id, e.id FROM hems h JOIN eml e ON lower(e.sha256) = h.hem),

@@ -4,6 +4,9 @@ from datetime import date, datetime
 import pytest
 from helpers import tuples
 
+from pyspark.sql import functions as F
+
+from canvass.operators import identity
 from canvass.plans import jobs
 from canvass.session import shared_dir, shared_root, written
 from canvass.sources import tables
@@ -102,6 +105,71 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def scans(df, name):
+    """(scans of tables of that name below an exchange, all of them) in the plan before it runs."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*(0123456789)")) for x in lines]
+    found = [i for i, x in enumerate(lines) if "FileScan" in x and name in x]
+    below = 0
+    for i in found:
+        level = depth[i]
+        for j in range(i - 1, -1, -1):
+            if depth[j] < level:
+                level = depth[j]
+                if "Exchange" in lines[j]:
+                    below += 1
+                    break
+    return below, len(found)
+
+
+def test_person_tables_are_not_shuffled(spark, store):
+    """However many respondents there are: with broadcasts off, only they are exchanged."""
+    email = spark.range(300).selectExpr("id", "sha2(cast(id % 200 as string), 256) AS sha256", "id % 3 AS emailqualitylevel", "1L AS rankorder", "date'2024-01-01' AS updatedate")
+    facts = ["age", "generation", "income_hh", "net_worth_hh", "education", "occupation_category", "marital_status", "home_owner", "ethnic_group", "children_hh", "owns_investments", "home_owner_ordinal"]
+    numbers = {"age", "children_hh", "owns_investments", "home_owner_ordinal"}
+    person = spark.range(250).selectExpr("id", "'F' AS gender", *[f"id % 60 AS {c}" if c in numbers else f"'{c}' AS {c}" for c in facts])
+    place = spark.range(280).selectExpr("id", "'M' AS gender", "'S' AS state", "7L AS dma")
+    given = {"email": email, "person": person, "place": place}
+    who = spark.range(150).selectExpr("sha2(cast(id as string), 256) AS hem")
+    want = tuples(identity.respondent_demographics(who, **given))
+    jobs.cluster_persons(store, given, "clustered_test", buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = identity.respondent_demographics(who, **jobs.clustered_persons(store, "clustered_test"))
+        assert scans(df, "clustered_test") == (0, 2)
+        assert tuples(df) == want
+        # e-mail: the hashes are exchanged only, and the best record of a hash is found where the join leaves it
+        asked = spark.table("clustered_test_email").join(who, F.col("sha256") == F.col("hem"), "left_semi").groupBy("sha256").count()
+        assert scans(asked, "clustered_test") == (0, 1)
+        assert asked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in jobs.PERSON_KEYS:
+            spark.sql(f"DROP TABLE clustered_test_{name}")
+
+
+def test_copies_are_caught_up_until_equal(spark, store):
+    """The source grows while it is copied."""
+    grown = [spark.range(10).selectExpr("id", "id AS v"), spark.range(14).selectExpr("id", "id AS v"), spark.range(15).selectExpr("id", "id AS v")]
+    asked = []
+
+    def source():
+        asked.append(1)
+        return grown[min(len(asked), len(grown)) - 1]
+
+    assert jobs.catch_up_until_equal(source, store, "copied", "id", rounds=5) == 3
+    assert sorted(r["id"] for r in store.partitioned("copied").collect()) == list(range(15))
+    count = [0]
+
+    def endless():
+        count[0] += 1
+        return spark.range(100 + count[0]).selectExpr("id", "id AS v")
+
+    with pytest.raises(RuntimeError, match="still missing"):
+        jobs.catch_up_until_equal(endless, store, "copied", "id", rounds=2)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == root and shared_dir(spark, "x").startswith(f"{root}/x-")
