@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions import hashes
 from canvass.functions.text import path_depth, path_levels, require_poll_id
 from canvass.operators import (
     catalog,
@@ -199,6 +200,18 @@ def catalog_view(s: Survey) -> DataFrame:
     return catalog.catalog_view(s.questions, s.options)
 
 
+@query
+def flat_catalog_rows(s: Survey) -> DataFrame:
+    """The retired catalog, exported as JSON arrays of rows with upper-case keys (one file a poll), and read back."""
+    rows = catalog.catalog_view(s.questions, s.options)
+    names = ["poll_id", "question_key", "question_text", "option_value", "option_label"]
+    entry = F.struct(*[F.col(n).alias(n.upper()) for n in names])
+    path = f"{shared_dir(s.spark, 'flat-catalog')}/export"
+    exported = rows.groupBy("poll_id").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    exported.write.partitionBy("poll_id").text(path)
+    return definitions.read_flat_catalog(s.spark, f"{path}/*/*.txt")
+
+
 @query
 def seeded_questions(s: Survey) -> DataFrame:
     return catalog.seed_dimensions(catalog.catalog_view(s.questions, s.options))[0]
@@ -535,6 +548,23 @@ def survey_reports(s: Survey) -> DataFrame:
     return rows.withColumn("cells", _json("cells"))
 
 
+@query
+def stored_reports(s: Survey) -> DataFrame:
+    """The report files of all mapped polls, written twice: the second report replaces the first one whole."""
+    counted, rows = written(report_tally(s), "tally"), written(_export(s), "export")
+    path, mapping = shared_dir(s.spark, "reports"), s.responses.select("poll_id").distinct()
+    for now in ("earlier", NOW):
+        report.write_reports(report.survey_reports(counted, rows, now, mapping), path)
+    return s.spark.read.parquet(path).select("poll_id", *report.POSITION, _json("cells"))
+
+
+@query
+def email_hashes(s: Survey) -> DataFrame:
+    """Hashes of the customers' e-mail addresses, whatever their case and the blanks around them."""
+    address = F.concat(F.lit(" "), "c_name", F.lit("@Mail.Example "))
+    return s.table("customer").select(F.col("c_custkey").alias("id"), hashes.email_hash(address).alias("hem"))
+
+
 # Streaming -----------------------------------------------------------------------------------------------------
 
 

@@ -57,6 +57,7 @@ _B["unclassified_text"] = f"{_TEXT} AND NOT EXISTS (SELECT 1 FROM tax t WHERE t.
 _B["text_option_candidates"] = "SELECT DISTINCT e.poll_id, e.question_key, lower(trim(e.v)) AS option_value, 'response' AS option_source FROM el e JOIN que q USING (poll_id, question_key) WHERE e.kind = 'string' AND trim(e.v) <> '' AND q.question_type = 'text'"
 _VIEW = "SELECT q.poll_id, q.question_key, q.question_text, o.option_value, o.option_label, o.is_catch_all, o.updated_at FROM que q JOIN opt o USING (poll_id, question_key) WHERE o.option_source = 'catalog'"
 _B["catalog_view"] = _VIEW
+_B["flat_catalog_rows"] = f"SELECT poll_id, question_key, question_text, option_value, option_label FROM ({_VIEW})"
 _B["seeded_questions"] = f"SELECT poll_id, question_key, max(question_text) AS question_text, 'single' AS question_type FROM ({_VIEW}) GROUP BY poll_id, question_key"
 _B["seeded_options"] = f"SELECT poll_id, question_key, option_value, 'catalog' AS option_source, option_label, is_catch_all FROM ({_VIEW})"
 _B["unclassified_polls"] = """SELECT DISTINCT o.poll_id FROM opt o JOIN que q USING (poll_id, question_key) WHERE o.option_source = 'catalog' AND o.is_catch_all = false AND q.question_type IN ('single','multi')
@@ -186,6 +187,9 @@ UNION ALL SELECT poll_id, 2, 0, l, 0, '', CASE WHEN l = 2 THEN '["RESPONSES + DE
 UNION ALL SELECT poll_id, 3, 0, 0, 0, '', CAST(to_json(list_concat(list_concat(['Response ID','Submitted At','Market'], qs), [{", ".join(f"'{n}'" for n, _ in _DEMO)}])) AS VARCHAR) FROM lst
 UNION ALL SELECT poll_id, 4, 0, 0, epoch_us(submitted_at), lpad(CAST(ingestion_id AS VARCHAR), 20, '0'), CAST(c AS VARCHAR) FROM cells"""
 
+_B["stored_reports"] = _B["survey_reports"]
+_B["email_hashes"] = "SELECT c_custkey AS id, sha256(lower(c_name || '@mail.example')) AS hem FROM customer"
+
 _VOTES = ", vt AS (SELECT poll_id, question_key, v AS option_value FROM el WHERE type <> 'text' AND NOT write_in AND v <> '' UNION ALL SELECT poll_id, 'rating', CAST(k % 5 AS VARCHAR) FROM sub), vc AS (SELECT poll_id, question_key, option_value, count(*) AS votes FROM vt GROUP BY ALL)"
 _B["live_option_counts"] = _VOTES + "SELECT * FROM vc"
 _B["live_option_stats"] = _VOTES + """SELECT poll_id, question_key, option_value AS label, votes, CAST(floor((votes * 200 + t) / (2 * t)) AS BIGINT) AS percentage
