@@ -70,8 +70,10 @@ def sync_catalog(store: Store, items: DataFrame) -> DataFrame:
     """Definitions → questions and options; returns the polls to classify next."""
     questions = store.read("questions", QUESTION_TABLE)
     options = store.read("options", schemas.OPTION_TABLE)
-    store.write("questions", upsert.upsert_questions(questions, definitions.questions(items), _now()))
-    store.write("options", upsert.upsert_options(options, definitions.options(items), _now()))
+    # each definition is read once, however often the plans below name its rows
+    rows = written(definitions.expanded(items), "definitions")
+    store.write("questions", upsert.upsert_questions(questions, definitions.expanded_questions(rows), _now()))
+    store.write("options", upsert.upsert_options(options, definitions.expanded_options(rows), _now()))
     return classify.unclassified_polls(
         store.read("questions"), store.read("options"), store.read("taxonomy", schemas.TAXONOMY_TABLE)
     )

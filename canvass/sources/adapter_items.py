@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canvass.sources.adapter import CHANNELS, Survey, device
+from canvass.sources.responses import once
 
 # The definition of the adapter's own polls: two conditional pages, a carried-forward list, an exclusive choice.
 POLL_DEFINITION = {
@@ -146,7 +147,7 @@ def catalog_items(survey: Survey) -> DataFrame:
             _list(_option(kind, label=kind), _option(brand, label="B")).alias("options"),
         )
     )
-    return survey.spread("part", "p_partkey").select(
+    item = F.struct(
         F.concat(F.lit("survey_"), key.cast("string")).alias("id"),
         F.when(key % 10 == 5, twice)
         .when(key % 10 == 8, F.substring(definition, 1, 80))
@@ -156,6 +157,8 @@ def catalog_items(survey: Survey) -> DataFrame:
         F.when(old, F.lit('{"question_key":"q2","question":"none","options":[]}')).alias("2"),
         F.when(old & (key % 20 == 7), F.lit('{"id":"q3", oops')).alias("3"),
     )
+    # once: else a condition on the definition builds it a second time, in the few tasks that read the file
+    return survey.spread("part", "p_partkey").select(once(item))
 
 
 def replies(survey: Survey) -> DataFrame:

@@ -60,17 +60,17 @@ def _is_list(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value).startswith("ARRAY"), F.lit(False))
 
 
-def _list(value: Column) -> Column:
-    """A JSON list as array<variant>; anything else as an empty one."""
-    empty = F.array().cast("array<variant>")
-    return F.when(_is_list(value), F.try_variant_get(value, "$", "array<variant>")).otherwise(empty)
+def _list(*values: Column) -> Column:
+    """The first JSON list of the values as array<variant>; without one, an empty one."""
+    lists = [F.try_variant_get(v, "$", "array<variant>") for v in values]
+    return F.coalesce(*lists, F.array().cast("array<variant>"))
 
 
 def _options(owner: Column, sets: Column) -> Column:
     """A question's options, given in place or as the name of an option set."""
     given = F.variant_get(owner, "$.options", "variant")
     named = F.try_element_at(sets, F.try_variant_get(given, "$", "string"))
-    return _list(F.when(F.schema_of_variant(given) == "STRING", named).otherwise(given))
+    return _list(given, F.when(F.schema_of_variant(given) == "STRING", named))
 
 
 def parsed(items: DataFrame) -> DataFrame:
@@ -81,11 +81,13 @@ def parsed(items: DataFrame) -> DataFrame:
         "definition",
         once(F.struct(F.try_parse_json("definition").alias("outer"))),
     )
-    inner = F.when(F.schema_of_variant("outer") == "STRING", F.variant_get("outer", "$", "string")).otherwise(
-        F.col("definition")
-    )
-    whole = as_json.select("poll_id", once(F.struct(inner.alias("text"))))
-    readable = F.coalesce(F.schema_of_variant(F.try_parse_json("text")).startswith("OBJECT"), F.lit(False))
+    # what parses is told by its first character; the schema of a whole definition would be built for that
+    twice = F.coalesce(F.col("outer").isNotNull() & F.col("definition").rlike(r'^[ \t\r\n]*"'), F.lit(False))
+    inner = F.when(twice, F.variant_get("outer", "$", "string")).otherwise(F.col("definition"))
+    parses = F.when(~twice, F.col("outer").isNotNull())
+    whole = as_json.select("poll_id", once(F.struct(inner.alias("text"), parses.alias("parses"))))
+    parses = F.coalesce("parses", F.try_parse_json("text").isNotNull())
+    readable = F.coalesce(F.col("text").rlike(r"^[ \t\r\n]*\{") & parses, F.lit(False))
     return whole.select("poll_id", (~readable).alias("broken"), F.from_json("text", DEFINITION).alias("doc"))
 
 
@@ -180,16 +182,17 @@ def _questions(items: DataFrame) -> DataFrame:
     return latest.select("poll_id", "question_key", "last.*")
 
 
-def _option_rows(questions: DataFrame, described: bool) -> DataFrame:
+def _option_rows(questions: DataFrame) -> DataFrame:
     value = F.coalesce(_text(F.col("o"), "value"), F.lit(""))
     label = _given(F.col("o"), "label")
-    return questions.select("poll_id", "question_key", F.posexplode("options").alias("sort_order", "o")).select(
+    listed = questions.select("poll_id", "question_key", "described", F.posexplode("options").alias("sort_order", "o"))
+    return listed.select(
         "poll_id",
         "question_key",
         value.alias("option_value"),
         F.when(label != value, label).alias("option_label"),
-        (_given(F.col("o"), "description") if described else F.lit(None).cast("string")).alias("option_description"),
-        (_is_true(F.col("o"), "is_catch_all") if described else F.lit(False)).alias("is_catch_all"),
+        F.when(F.col("described"), _given(F.col("o"), "description")).alias("option_description"),
+        (F.col("described") & _is_true(F.col("o"), "is_catch_all")).alias("is_catch_all"),
         F.col("sort_order").cast("long").alias("sort_order"),
     )
 
@@ -225,8 +228,10 @@ def _legacy_questions(items: DataFrame) -> DataFrame | None:
     return cells.where("NOT broken AND question_key IS NOT NULL AND size(options) > 0")
 
 
-def questions(items: DataFrame) -> DataFrame:
-    rows = _questions(items).drop("options", "options_from", "show_if")
+def expanded(items: DataFrame) -> DataFrame:
+    """Questions of both layouts with their options, which only a definition describes. A job that needs questions and
+    options writes this once, so that no definition is read for each of them."""
+    rows = _questions(items).drop("options_from", "show_if").withColumn("described", F.lit(True))
     old = _legacy_questions(items)
     if old is None:
         return rows
@@ -245,15 +250,27 @@ def questions(items: DataFrame) -> DataFrame:
             absent.cast("string").alias("placeholder"),
             F.lit(True).alias("show_results"),
             absent.cast("boolean").alias("auto_advance"),
+            "options",
+            F.lit(False).alias("described"),
         )
     )
 
 
-def options(items: DataFrame) -> DataFrame:
+def expanded_questions(rows: DataFrame) -> DataFrame:
+    return rows.drop("options", "described")
+
+
+def expanded_options(rows: DataFrame) -> DataFrame:
     """Options of all but text questions; their place in the list is the sort order, a label equal to the value NULL."""
-    rows = _option_rows(_questions(items).where("question_type <> 'text'"), described=True)
-    old = _legacy_questions(items)
-    return rows if old is None else rows.unionByName(_option_rows(old, described=False))
+    return _option_rows(rows.where("question_type <> 'text'"))
+
+
+def questions(items: DataFrame) -> DataFrame:
+    return expanded_questions(expanded(items))
+
+
+def options(items: DataFrame) -> DataFrame:
+    return expanded_options(expanded(items))
 
 
 def rejects(items: DataFrame) -> DataFrame:

@@ -129,3 +129,18 @@ def test_files(spark, tmp_path):
     flat = [{"POLL_ID": "p", "QUESTION_KEY": "q", "QUESTION_TEXT": "", "OPTION_VALUE": "A", "OPTION_LABEL": "Ay"}]
     (tmp_path / "flat.json").write_text(json.dumps(flat))
     assert tuples(definitions.read_flat_catalog(spark, str(tmp_path / "flat.json"))) == [("p", "q", "", "A", "Ay")]
+
+
+def test_documents_told_by_their_first_character(items):
+    doc = json.dumps({"questions": {"q": {"options": [{"value": "a"}]}}})
+    texts = [f" \n{doc}", f"\t{json.dumps(doc)} ", json.dumps(f" {doc}"), "{", "[]", "null", "5", '"', '"x"', json.dumps("[]"), json.dumps(json.dumps(doc)), '{"a": 1, "a": 2}']
+    source = items(*[(f"d{i:02d}", text) for i, text in enumerate(texts)])
+    assert tuples(definitions.questions(source).select("poll_id").orderBy("poll_id")) == [("d00",), ("d01",), ("d02",)]
+    assert tuples(definitions.rejects(source).select("poll_id").orderBy("poll_id")) == [(f"d{i:02d}",) for i in range(3, 12)]
+
+
+def test_options_that_are_no_list(items):
+    sets = {"5": [{"value": "five"}], "one": {"value": "single"}}
+    given = {"number": 5, "named": "5", "object": {"value": "a"}, "unlisted": "one", "unknown": "two", "nothing": None}
+    source = items(("p", json.dumps({"option_sets": sets, "questions": {k: {"options": v} for k, v in given.items()}})))
+    assert tuples(definitions.options(source).select("question_key", "option_value")) == [("named", "five")]

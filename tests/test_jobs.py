@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from canvass.operators import identity
 from canvass.plans import jobs
 from canvass.session import shared_dir, shared_root, written
+from canvass.sources import adapter_items as items
 from canvass.sources import tables
+from canvass.sources.adapter import Survey
 
 HASH = "a" * 64
 SURVEY = {
@@ -175,3 +177,26 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == root and shared_dir(spark, "x").startswith(f"{root}/x-")
     df = written(spark.range(5), "numbers")
     assert df.count() == 5 and df.inputFiles()[0].startswith(f"file://{root}") or root in df.inputFiles()[0]
+
+
+def test_sync_reads_each_definition_once(spark, store):
+    read = spark.sparkContext.accumulator(0)
+
+    def fetched(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame([(f"p{i}", json.dumps(SURVEY)) for i in range(5)], "id string, definition string")
+    jobs.sync_catalog(store, docs.withColumn("definition", F.udf(fetched, "string").asNondeterministic()("definition")))
+    assert read.value == 5
+    assert store.read("questions").count() == 10 and store.read("options").count() == 10
+
+
+def test_catalog_items_are_built_where_they_are_dealt_out(spark, tmp_path):
+    row = (1, "red bolt", "Brand#1", "LARGE", 4)
+    parts = spark.createDataFrame([row], "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    found = items.catalog_items(Survey(spark, str(tmp_path))).where("definition IS NOT NULL")
+    dealt, read = found._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert "Filter" in dealt and "Filter" not in read
+    assert found.count() == 1
