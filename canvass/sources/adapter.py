@@ -31,10 +31,6 @@ def device_hash(number: Column) -> Column:
     return F.sha2(device(number), 256)
 
 
-def _variant(value: Column) -> Column:
-    return value.cast("variant")
-
-
 @dataclass
 class Survey:
     spark: SparkSession
@@ -104,12 +100,11 @@ class Survey:
 
         def answer(question: str, value: Column, kind: str, write_in: Column | None = None) -> Column:
             written = F.lit(None).cast("boolean") if write_in is None else F.when(write_in, F.lit(True))
-            return F.struct(
-                F.lit(question).alias("question"),
-                _variant(value).alias("answer"),
-                F.lit(kind).alias("type"),
-                written.alias("write_in"),
+            entry = F.struct(
+                F.lit(question).alias("question"), value.alias("answer"), F.lit(kind).alias("type"), written.alias("write_in")
             )
+            # as text at once: one list of answers of all types needs each of them as a VARIANT first
+            return F.to_json(entry)
 
         status = answer("status", F.col("status"), "single")
         flags = answer("flags", F.col("flags"), "multi")
@@ -126,21 +121,17 @@ class Survey:
                 channel == 3,
             ),
         ]
-        listed = F.when(key % 3 == 0, F.array(flags, status, *rest)).otherwise(F.array(status, flags, *rest))
+        listed = F.when(key % 3 == 0, F.concat_ws(",", flags, status, *rest)).otherwise(
+            F.concat_ws(",", status, flags, *rest)
+        )
+        submitted = F.concat(F.translate(timestamp_text(F.col("submitted")), " ", "T"), F.lit("Z"))
+        head = F.to_json(
+            F.struct("poll_id", "device_id", "external_id", "market_name", submitted.alias("submitted_at"))
+        )
+        fields = F.nullif(F.substr(head, F.lit(2), F.length(head) - 2), F.lit(""))
+        answers = F.concat(F.lit('"answers":['), listed, F.lit("]"))
         return self.base.select(
-            "ingestion_id",
-            F.to_json(
-                F.struct(
-                    "poll_id",
-                    "device_id",
-                    "external_id",
-                    "market_name",
-                    F.concat(F.translate(timestamp_text(F.col("submitted")), " ", "T"), F.lit("Z")).alias(
-                        "submitted_at"
-                    ),
-                    listed.alias("answers"),
-                )
-            ).alias("raw"),
+            "ingestion_id", F.concat(F.lit("{"), F.concat_ws(",", fields, answers), F.lit("}")).alias("raw")
         )
 
     @cached_property
