@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions.text import normalised
 from canvass.operators.catalog import KEYS
+from canvass.session import measured, written
 
 # Fixed value: first id of the new range; older ids stay below it.
 NEW_IDS_FROM = 10**12
@@ -29,11 +30,16 @@ def latest(source: DataFrame, keys: list[str], order: list[str] | None = None) -
     return picked.select("row.*")
 
 
+def batch(source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """The latest rows, written, as a merge reads them for its updates and its inserts and has to know their size."""
+    return measured(written(latest(source, keys, order), "batch"))
+
+
 def updates(target: DataFrame, rows: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """The target with the `update` columns of matched rows taken from `rows` (one row per key).
 
-    The target is joined to the batch, not grouped with it: a batch measured as small is broadcast and the target
-    never moves; a large one is a shuffle join.
+    The target is joined to the batch, not grouped with it: a batch measured as small can be broadcast and the target
+    never moves; a large one (see `measured`) is a shuffle join.
     """
     match = [f"_k{i}" for i in range(len(keys))]
     incoming = rows.select(*_null_safe(keys), F.struct(*update).alias("_new"))
@@ -50,9 +56,11 @@ def updates(target: DataFrame, rows: DataFrame, keys: list[str], update: list[st
 def inserts(
     target: DataFrame, rows: DataFrame, keys: list[str], insert: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Source rows without a match, in the target's columns."""
+    """Source rows without a match, in the target's columns. The target's keys are shuffled: they are as many as its rows,
+    however small their files."""
     match = [f"_k{i}" for i in range(len(keys))]
-    added = rows.select("*", *_null_safe(keys)).join(target.select(*_null_safe(keys)), match, "left_anti")
+    known = target.select(*_null_safe(keys)).hint("merge")
+    added = rows.select("*", *_null_safe(keys)).join(known, match, "left_anti")
     given = {**{c: F.col(c) for c in rows.columns}, **(insert or {})}
     types = dict(target.dtypes)
     return added.select(*[given.get(c, F.lit(None)).cast(types[c]).alias(c) for c in target.columns])
@@ -70,7 +78,7 @@ def upsert(
 
     `insert` gives columns of new rows that the source does not carry. Running it twice changes nothing.
     """
-    rows = latest(source, keys, order)
+    rows = batch(source, keys, order)
     return updates(target, rows, keys, update).unionByName(inserts(target, rows, keys, insert))
 
 
@@ -131,7 +139,7 @@ def _with_new_options(target: DataFrame, kept: DataFrame, added: DataFrame) -> D
 
 def upsert_options(target: DataFrame, source: DataFrame, now: Column) -> DataFrame:
     """Catalog options; a match keeps its source, so a typed answer that equals a new option stays 'response'."""
-    rows = latest(source, OPTION_KEYS, ["sort_order"]).withColumn("updated_at", now)
+    rows = batch(source, OPTION_KEYS, ["sort_order"]).withColumn("updated_at", now)
     update = ["option_label", "option_description", "is_catch_all", "sort_order", "updated_at"]
     kept = updates(target, rows, OPTION_KEYS, update)
     added = inserts(target, rows, OPTION_KEYS, {"option_source": F.lit("catalog")})

@@ -24,7 +24,7 @@ from canvass.operators import (
     upsert,
 )
 from canvass.plans import jobs, streams
-from canvass.session import shared_dir, written
+from canvass.session import measured, shared_dir, written
 from canvass.sources import adapter_items as items
 from canvass.sources import commits, definitions
 from canvass.sources import responses as source
@@ -684,7 +684,8 @@ def synced_catalog(s: Survey) -> DataFrame:
     store = jobs.Store(s.spark, shared_dir(s.spark, "store"))
     for _ in range(2):
         jobs.sync_catalog(store, items.catalog_items(s))
-    options = store.read("options").join(store.read("questions").select("poll_id", "question_key", "question_type"), ["poll_id", "question_key"])
+    types = measured(store.read("questions").select("poll_id", "question_key", "question_type"))
+    options = store.read("options").join(types, ["poll_id", "question_key"])
     low = options.agg(F.min("option_id")).scalar()
     return options.select("poll_id", "question_key", "question_type", "option_value", "sort_order", (F.col("option_id") - low < options.agg(F.count("*")).scalar()).alias("dense"))
 

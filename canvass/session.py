@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution decides broadcasts by measured size and splits skewed join partitions. The force flag lets it
 # split a hot key even where a later stage would have reused the partitioning.
@@ -51,3 +52,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A written table for the side of a join that Spark may broadcast: marked to be shuffled unless its rows are small.
+
+    Spark plans by the size of the files, which can be a hundredth of that of the rows in them, and adaptive execution
+    keeps a planned broadcast whatever its stages measure: the driver would have to hold all of a large table.
+    """
+    limit, least = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold(), 8 * len(df.columns)
+    # the count comes from the files' footers; only rows that are few enough are looked at
+    if df.count() * least <= limit:
+        size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + least)).first()[0]
+        if (size or 0) <= limit:
+            return df
+    return df.hint("merge")

@@ -5,6 +5,7 @@ from helpers import tuples
 from pyspark.sql import functions as F
 
 from canvass.operators import upsert
+from canvass.session import measured, written
 from canvass.sources import schemas
 
 OLD, NEW = datetime(2024, 1, 1), datetime(2024, 6, 1)
@@ -32,6 +33,23 @@ def test_generic_merge(spark):
     assert tuples(upsert.upsert(merged, source, ["k", "n"], ["v"], {"other": F.lit("new")}, ["v"])) == want
 
 
+def test_joins_go_by_the_size_of_the_rows_not_of_their_files(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        # a megabyte of rows each, in files of a few KB
+        table = lambda n: written(spark.range(n).select((F.col("id") % 3000).alias("k"), F.lit("x" * 400).alias("v")), "table")
+        joins = lambda target, source: [line.split("Join")[0].split()[-1] for line in upsert.upsert(target, source, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString().splitlines() if "Join " in line]
+        assert joins(table(3000), table(3000)) == ["SortMerge", "SortMerge"]
+        # a small batch: the target doesn't move for its updates, and its keys aren't broadcast for the inserts
+        assert joins(table(3000), table(5)) == ["BroadcastHash", "SortMerge"]
+        assert upsert.upsert(table(3000), table(3005), ["k"], ["v"]).count() == 3000
+        wide, empty = written(spark.range(3).select(F.repeat(F.lit("é"), F.lit(20000)).alias("v")), "wide"), written(spark.range(0), "empty")
+        assert [("merge" in df._jdf.logicalPlan().toString()) for df in map(measured, (table(5), wide, empty))] == [False, True, False]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_options_keep_their_source_and_id(options, catalog_rows):
     target = options((7, "q", "A"), (9, "t", "typed", "response"))
     rows = catalog_rows(("q", "A", "Label", None, True, 0), ("t", "typed", None, None, False, 1), ("q", "B", None, "d", False, 2))
